@@ -1,13 +1,13 @@
 """Bit arithmetic on signatures: Hamming distance, bit ranges, band layout.
 
 A signature is one LONG up to 64 bits and an ARRAY<LONG> of 64-bit words beyond.
-Everything here is built from Spark's own bit functions.
+Everything here is built from Spark's own bit functions, written as SQL expressions;
+signatures are passed as the SQL text of their column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,47 +15,47 @@ from pyspark.sql import functions as F
 WORD_BITS = 64
 
 
-def signed(value: int) -> int:
-    """The signed 64-bit number with the same bits as ``value``."""
-    return value - (1 << 64) if value >= 1 << 63 else value
+def mask(width: int, start: int = 0) -> str:
+    """LONG literal with ``width`` bits set from bit ``start`` on."""
+    value = ((1 << width) - 1) << start
+    if value >= 1 << 63:
+        value -= 1 << 64
+    return "(-9223372036854775807L - 1L)" if value == -(1 << 63) else f"{value}L"
 
 
-def words(sig: Column, m: int) -> list[Column]:
+def words(sig: str, m: int) -> list[str]:
     if m <= WORD_BITS:
         return [sig]
-    return [sig[i] for i in range(-(-m // WORD_BITS))]
+    return [f"{sig}[{i}]" for i in range(-(-m // WORD_BITS))]
 
 
-def xor_words(left: Column, right: Column, m: int) -> list[Column]:
-    return [a.bitwiseXOR(b) for a, b in zip(words(left, m), words(right, m), strict=True)]
+def xor_words(left: str, right: str, m: int) -> list[str]:
+    return [f"({a} ^ {b})" for a, b in zip(words(left, m), words(right, m), strict=True)]
 
 
-def hamming(left: Column, right: Column, m: int) -> Column:
+def hamming(left: str, right: str, m: int) -> str:
     """Number of differing bits of two ``m``-bit signatures."""
-    return reduce(lambda a, b: a + b, [F.bit_count(w) for w in xor_words(left, right, m)]).cast("int")
+    return "(" + " + ".join(f"bit_count({word})" for word in xor_words(left, right, m)) + ")"
 
 
-def bit_range(sig: Column, m: int, start: int, width: int) -> Column:
+def bit_range(sig: str, m: int, start: int, width: int) -> str:
     """Bits ``[start, start + width)`` as one LONG; ``width`` is at most 64 and may straddle two words."""
     parts = words(sig, m)
     word, offset = divmod(start, WORD_BITS)
-    value = F.shiftrightunsigned(parts[word], offset) if offset else parts[word]
+    value = f"shiftrightunsigned({parts[word]}, {offset})" if offset else parts[word]
     if offset + width > WORD_BITS:
-        value = value.bitwiseOR(F.shiftleft(parts[word + 1], WORD_BITS - offset))
-    if width < WORD_BITS:
-        value = value.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-    return value
+        value = f"({value} | shiftleft({parts[word + 1]}, {WORD_BITS - offset}))"
+    return value if width == WORD_BITS else f"({value} & {mask(width)})"
 
 
-def range_is_zero(xored: list[Column], start: int, width: int) -> Column:
+def range_is_zero(xored: list[str], start: int, width: int) -> str:
     """True when bits ``[start, start + width)`` of an XOR are all zero, that is, when both sides agree there."""
     tests = []
     for i, word in enumerate(xored):
         low, high = max(start, i * WORD_BITS), min(start + width, (i + 1) * WORD_BITS)
         if low < high:
-            mask = ((1 << (high - low)) - 1) << (low - i * WORD_BITS)
-            tests.append(word.bitwiseAND(F.lit(signed(mask)).cast("long")) == 0)
-    return reduce(lambda a, b: a & b, tests)
+            tests.append(f"({word} & {mask(high - low, low - i * WORD_BITS)}) = 0L")
+    return "(" + " and ".join(tests) + ")"
 
 
 def band_width(m: int, b: int) -> int:
@@ -65,7 +65,7 @@ def band_width(m: int, b: int) -> int:
     return m // b
 
 
-def band_array(sig: Column, m: int, bs: Iterable[int]) -> Column:
+def band_array(sig: str, m: int, bs: Iterable[int]) -> Column:
     """All band keys of a signature as ARRAY<STRUCT<b, band_idx, band_val>>.
 
     ``band_val`` is a LONG while every band fits in 64 bits, otherwise an ARRAY<LONG>.
@@ -76,35 +76,94 @@ def band_array(sig: Column, m: int, bs: Iterable[int]) -> Column:
     for b in bs:
         r = band_width(m, b)
         for i in range(b):
-            chunks = [
-                bit_range(sig, m, i * r + at, min(WORD_BITS, r - at)) for at in range(0, r, WORD_BITS)
-            ]
-            value = F.array(*chunks) if wide else chunks[0]
-            keys.append(F.struct(F.lit(b).alias("b"), F.lit(i).alias("band_idx"), value.alias("band_val")))
-    return F.array(*keys)
+            chunks = [bit_range(sig, m, i * r + at, min(WORD_BITS, r - at)) for at in range(0, r, WORD_BITS)]
+            value = f"array({', '.join(chunks)})" if wide else chunks[0]
+            keys.append(f"named_struct('b', {b}, 'band_idx', {i}, 'band_val', {value})")
+    return F.expr(f"array({', '.join(keys)})")
 
 
-def first_shared_band(b: Column, band_idx: Column, xored: list[Column], m: int, bs: Iterable[int]) -> Column:
-    """True when no band before ``band_idx`` also agrees.
+def shares_band(xored: list[str], m: int, b: int) -> str:
+    """True when both signatures agree in at least one of ``b`` bands."""
+    r = band_width(m, b)
+    return "(" + " or ".join(range_is_zero(xored, i * r, r) for i in range(b)) + ")"
 
-    A pair meets once in every band it shares. Keeping it only in the first one
-    removes the repeats without a shuffle.
+
+def shared_counts(xored: list[str], m: int, bs: list[int]) -> Column:
+    """The band counts under which both signatures share a band, as ARRAY<INT>."""
+    if len(bs) == 1:
+        return F.lit(bs)
+    return F.expr("array_compact(array(" + ", ".join(f"if({shares_band(xored, m, b)}, {b}, null)" for b in bs) + "))")
+
+
+def generating_counts(m: int, bs: Iterable[int]) -> list[int]:
+    """The band counts whose buckets must be paired.
+
+    When the bands of b are unions of the bands of a larger count, every pair of b is
+    also a pair of the larger one and needs no buckets of its own.
     """
-    tests = []
+    bs = sorted(set(bs))
+    return [
+        b for b in bs
+        if not any(c > b and c % b == 0 and band_width(m, b) == band_width(m, c) * (c // b) for c in bs)
+    ]
+
+
+def first_meeting(xored: list[str], m: int, bs: list[int]) -> str:
+    """True when the pair agrees in no band of ``bs`` before the row's own ``b, band_idx``.
+
+    A pair meets once in every band it shares. Keeping it only in the first one removes
+    the repeats without a shuffle.
+    """
+    tests = ["true"]
+    for at, value in enumerate(bs):
+        r = band_width(m, value)
+        tests += [f"not (b = {value} and band_idx > {j} and {range_is_zero(xored, j * r, r)})" for j in range(value - 1)]
+        later = ", ".join(map(str, bs[at + 1 :]))
+        if later:
+            tests.append(f"not (b in ({later}) and {shares_band(xored, m, value)})")
+    return " and ".join(tests)
+
+
+def first_surviving_meeting(xored: list[str], alive: str, m: int, bs: list[int]) -> str:
+    """As :func:`first_meeting` within each band count, over the bands whose bit is set in ``alive``."""
+    tests = ["true"]
     for value in bs:
         r = band_width(m, value)
-        earlier = [~((band_idx > j) & range_is_zero(xored, j * r, r)) for j in range(value - 1)]
-        if earlier:
-            tests.append((b != value) | reduce(lambda a, c: a & c, earlier))
-    return reduce(lambda a, c: a & c, tests) if tests else F.lit(True)
+        tests += [
+            f"not (b = {value} and band_idx > {j} and ({alive} & {mask(1, j)}) != 0L and {range_is_zero(xored, j * r, r)})"
+            for j in range(value - 1)
+        ]
+    return " and ".join(tests)
+
+
+def outside_band(word: str, width: int) -> str:
+    """The bits of a one-word signature outside the row's band ``band_idx``, closed up."""
+    below = f"(~shiftleft(-1L, band_idx * {width}))"
+    return f"(({word} & {below}) | (shiftrightunsigned({word}, {width}) & ~{below}))"
+
+
+def piece_array(sig: str, band: int, piece: int, count: int) -> str:
+    """Keys of the first ``count`` pieces of ``piece`` bits outside a band of ``band`` bits."""
+    rest = outside_band(sig, band)
+    return "array(" + ", ".join(
+        f"named_struct('piece', {q}, 'piece_val', shiftrightunsigned({rest}, {q * piece}) & {mask(piece)})"
+        for q in range(count)
+    ) + ")"
+
+
+def first_shared_piece(xored: str, band: int, piece: int, count: int) -> str:
+    """True when the pair agrees in no piece before the row's own ``piece``."""
+    rest = outside_band(xored, band)
+    return " and ".join(
+        ["true", *[f"not (piece > {q} and ({rest} & {mask(piece, q * piece)}) = 0L)" for q in range(count - 1)]]
+    )
 
 
-def prefix_signature(sig: Column, m_from: int, m: int) -> Column:
+def prefix_signature(sig: str, m_from: int, m: int) -> Column:
     """The ``m``-bit signature inside an ``m_from``-bit one (planes are a prefix, so bits are too)."""
     if m > m_from:
         raise ValueError("a prefix cannot be longer than the signature")
     parts = words(sig, m_from)[: -(-m // WORD_BITS)]
-    tail = m % WORD_BITS
-    if tail:
-        parts[-1] = parts[-1].bitwiseAND(F.lit((1 << tail) - 1).cast("long"))
-    return parts[0] if m <= WORD_BITS else F.array(*parts)
+    if m % WORD_BITS:
+        parts[-1] = f"({parts[-1]} & {mask(m % WORD_BITS)})"
+    return F.expr(parts[0] if m <= WORD_BITS else f"array({', '.join(parts)})")

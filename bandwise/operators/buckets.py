@@ -50,8 +50,8 @@ def cap_buckets(
     return kept.drop("_rank")
 
 
-def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[DataFrame, int]:
-    """Keys with more than ``limit`` rows and the number of blocks ``g`` each needs, with their count."""
+def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[DataFrame, int, int]:
+    """Keys with more than ``limit`` rows and the blocks ``g`` each needs, their count, and the largest ``g``."""
     hot = durable(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -59,39 +59,28 @@ def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[
         .select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("g")),
         label,
     )
-    found = hot.count()
-    return broadcast_if_small(hot, found), found
+    found, largest = hot.agg(F.count(F.lit(1)), F.max("g")).first()
+    return broadcast_if_small(hot, found), found, largest or 1
 
 
-def block_lists(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
+def block_lists(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Pack the signatures of each key into bounded lists: ``keys, lefts, rights``.
 
-    A key of at most ``limit`` rows gives one list, to be paired with itself. A larger
-    one is cut by hash into g blocks and gives a row for each two blocks, so its pairs
-    spread over g * (g + 1) / 2 bounded groups and none is missed.
+    A key without ``g`` gives one list, to be paired with itself, and no ``rights``. A
+    key with ``g`` is cut by hash into g blocks and gives a row for each two blocks, so
+    its pairs spread over g * (g + 1) / 2 bounded groups and none is missed.
     """
-    hot, found = hot_keys(rows, keys, limit, "hot-blocks")
-    if not found:
-        return rows.groupBy(*keys).agg(
-            F.collect_list("sig").alias("lefts"), F.lit(None).cast(f"array<{_type(rows)}>").alias("rights")
-        )
-    own = F.pmod(F.xxhash64("sig"), F.coalesce("g", F.lit(1))).cast("int")
+    if "g" not in rows.columns:
+        nothing = F.lit(None).cast(rows.select(F.array("sig").alias("sig")).schema["sig"].dataType)
+        return rows.groupBy(*keys).agg(F.collect_list("sig").alias("lefts")).withColumn("rights", nothing)
+    blocks = F.coalesce("g", F.lit(1))
     placed = (
-        rows.join(hot, keys, "left")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("g", F.lit(1)) - 1)))
+        rows.withColumn("own", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(*keys, "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    return (
-        placed.groupBy(*keys, "i", "j")
-        .agg(
-            F.collect_list(F.when(F.col("own") == F.col("i"), F.col("sig"))).alias("lefts"),
-            F.collect_list(F.when(F.col("own") != F.col("i"), F.col("sig"))).alias("_rights"),
-        )
-        .withColumn("rights", F.when(F.col("i") != F.col("j"), F.col("_rights")))
-        .select(*keys, "lefts", "rights")
+    lists = placed.groupBy(*keys, "i", "j").agg(
+        F.collect_list(F.when(F.col("own") == F.col("i"), F.col("sig"))).alias("lefts"),
+        F.collect_list(F.when(F.col("own") != F.col("i"), F.col("sig"))).alias("rights"),
     )
-
-
-def _type(rows: DataFrame) -> str:
-    return rows.schema["sig"].dataType.simpleString()
+    return lists.select(*keys, "lefts", F.when(F.col("i") != F.col("j"), F.col("rights")).alias("rights"))

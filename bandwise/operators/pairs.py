@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.durable import broadcast_if_small, durable
 from bandwise.functions.bits import (
     WORD_BITS,
     band_width,
-    first_shared_band,
+    first_meeting,
+    first_shared_piece,
+    first_surviving_meeting,
+    generating_counts,
     hamming,
-    range_is_zero,
+    piece_array,
+    shared_counts,
     xor_words,
 )
 from bandwise.functions.cosine import cosine
@@ -22,8 +25,11 @@ from bandwise.operators.banding import BUCKET, band_keys
 from bandwise.operators.buckets import TRUNCATE, block_lists, cap_buckets, hot_keys
 
 BLOCK_ROWS = 2048
+REFINE_BLOCKS = 16
 MEMBER_ROWS = 10_000
 PIECE_KEYS = ["piece", "piece_val"]
+SMALLER_ID = "least(one.doc_id, two.doc_id)"
+GREATER_ID = "greatest(one.doc_id, two.doc_id)"
 
 
 def bucket_lists(capped: DataFrame) -> DataFrame:
@@ -42,17 +48,11 @@ def pairs_within(lists: DataFrame, m: int, max_h: int | None = None) -> DataFram
     same pair appears once for each band it shares.
     """
     kept = [c for c in lists.columns if c != "members"]
-    left, right = F.col("left"), F.col("right")
     pairs = (
-        lists.select(*kept, "members", F.posexplode("members").alias("at", "left"))
-        .select(*kept, "left", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("right"))
-        .select(
-            *kept,
-            F.least(left["doc_id"], right["doc_id"]).alias("d1"),
-            F.greatest(left["doc_id"], right["doc_id"]).alias("d2"),
-            hamming(left["sig"], right["sig"], m).alias("h"),
-        )
-        .where(F.col("d1") < F.col("d2"))
+        lists.select(*kept, "members", F.posexplode("members").alias("at", "one"))
+        .select(*kept, "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
+        .select(*kept, F.expr(SMALLER_ID).alias("d1"), F.expr(GREATER_ID).alias("d2"), F.expr(hamming("one.sig", "two.sig", m)).alias("h"))
+        .where("d1 < d2")
     )
     return pairs if max_h is None else pairs.where(F.col("h") <= max_h)
 
@@ -92,9 +92,7 @@ def candidate_pairs(
     """
     bs = list(bs)
     if cap is None:
-        signatures = durable(signatures.select("doc_id", "sig").where(F.col("sig").isNotNull()), "signatures")
-        groups = signature_groups(signatures)
-        return expand_pairs(signature_pairs(groups, m, bs, max_h), groups, signatures, bs)
+        return document_pairs(signatures, m, bs, max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
     capped = cap_buckets(band_keys(signatures.select("doc_id", "sig"), m, bs), cap, mode)
     if max_h is None and max(bs) < WORD_BITS:
         return once_per_pair(capped, m, bs)
@@ -115,28 +113,15 @@ def once_per_pair(capped: DataFrame, m: int, bs: list[int]) -> DataFrame:
         (F.col("b") == F.col("_b")) & F.expr("(shiftrightunsigned(alive, band_idx) & 1L) = 1L")
     )
     lists = keyed.groupBy(*BUCKET).agg(F.collect_list(F.struct("doc_id", "sig", "alive")).alias("members"))
-    left, right = F.col("left"), F.col("right")
-    both = left["alive"].bitwiseAND(right["alive"])
-    xored = xor_words(left["sig"], right["sig"], m)
-    repeats = []
-    for b in bs:
-        r = band_width(m, b)
-        for j in range(b - 1):
-            bit = both.bitwiseAND(F.lit(1 << j).cast("long")) != 0
-            repeats.append((F.col("b") == b) & (F.col("band_idx") > j) & bit & range_is_zero(xored, j * r, r))
-    pairs = (
+    first_time = first_surviving_meeting(xor_words("one.sig", "two.sig", m), "one.alive & two.alive", m, bs)
+    return (
         lists.where(F.size("members") >= 2)
-        .select("b", "band_idx", "members", F.posexplode("members").alias("at", "left"))
-        .select("b", "band_idx", "left", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("right"))
+        .select("b", "band_idx", "members", F.posexplode("members").alias("at", "one"))
+        .select("b", "band_idx", "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
+        .where(first_time)
+        .select("b", F.expr(SMALLER_ID).alias("d1"), F.expr(GREATER_ID).alias("d2"), F.expr(hamming("one.sig", "two.sig", m)).alias("h"))
+        .where("d1 < d2")
     )
-    if repeats:
-        pairs = pairs.where(~reduce(lambda a, c: a | c, repeats))
-    return pairs.select(
-        "b",
-        F.least(left["doc_id"], right["doc_id"]).alias("d1"),
-        F.greatest(left["doc_id"], right["doc_id"]).alias("d2"),
-        hamming(left["sig"], right["sig"], m).alias("h"),
-    ).where(F.col("d1") < F.col("d2"))
 
 
 def candidate_count(
@@ -151,10 +136,8 @@ def candidate_count(
         signatures = durable(signatures.select("doc_id", "sig").where(F.col("sig").isNotNull()), "signatures")
         groups = signature_groups(signatures)
         n = {side: groups.select(F.col("sig").alias(side), F.col("n").cast("double").alias(f"n_{side}")) for side in ("s1", "s2")}
-        apart = (
-            signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
-            .select("b", (F.col("n_s1") * F.col("n_s2")).alias("pairs"))
-        )
+        apart = signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
+        apart = apart.select(F.explode("bs").alias("b"), (F.col("n_s1") * F.col("n_s2")).alias("pairs"))
         same = groups.where("n > 1").select(
             F.explode(F.lit(bs)).alias("b"), (F.col("n") * (F.col("n").cast("double") - 1) / 2).alias("pairs")
         )
@@ -173,32 +156,31 @@ def signature_groups(signatures: DataFrame) -> DataFrame:
 def signature_pairs(
     groups: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Every two distinct signatures that share a band, once per band count: ``b, s1, s2, h``.
+    """Every two distinct signatures that share a band, once: ``s1, s2, h, bs``.
+
+    ``bs`` lists the band counts under which they share one.
 
-    Buckets above ``block_rows`` signatures are handled exactly, in two steps. If the
-    threshold leaves room, their rows are keyed by further bits: two signatures that
-    differ in at most k bits agree in one of any k + 1 pieces of the remaining bits.
-    What is still hot is cut into blocks, see :func:`block_lists`.
+    Buckets above ``block_rows`` signatures are cut into blocks, see :func:`block_lists`.
+    The largest are first keyed by further bits where the threshold leaves room: two
+    signatures that differ in at most k bits agree in one of any k + 1 pieces of the
+    bits outside the band. Both are exact.
     """
     bs = list(bs)
-    bands = band_keys(groups.select("sig"), m, bs)
+    paired = generating_counts(m, bs)
+    rows, keys = band_keys(groups.select("sig"), m, paired), BUCKET
     if max_h == 0:
-        return bands.select("b", F.col("sig").alias("s1"), F.col("sig").alias("s2"), F.lit(0).alias("h")).where(F.lit(False))
-    hot, found = hot_keys(bands, BUCKET, block_rows, "hot-buckets")
-    if not found:
-        lists = bands.groupBy(*BUCKET).agg(F.collect_list("sig").alias("lefts"))
-        return _pairs_of_lists(lists.withColumn("rights", _no_list(groups)), m, bs, max_h)
-    cold = bands.join(hot, BUCKET, "left_anti").groupBy(*BUCKET).agg(F.collect_list("sig").alias("lefts"))
-    pieces = {b: _piece_width(m, b, max_h) for b in bs}
-    split = _with_pieces(bands.join(hot.drop("g"), BUCKET), pieces, max_h)
-    blocks = block_lists(split, BUCKET + PIECE_KEYS, block_rows)
-    return _pairs_of_lists(cold.withColumn("rights", _no_list(groups)), m, bs, max_h).unionByName(
-        _pairs_of_lists(blocks, m, bs, max_h, pieces)
-    )
-
-
-def _no_list(groups: DataFrame) -> Column:
-    return F.lit(None).cast(f"array<{groups.schema['sig'].dataType.simpleString()}>")
+        return _pairs_of_lists(block_lists(rows.where(F.lit(False)), keys), m, bs, paired, max_h)
+    hot, found, largest = hot_keys(rows, keys, block_rows, "hot-buckets")
+    if found:
+        rows = rows.join(hot, keys, "left")
+    pieces = {b: _piece_width(m, b, max_h) for b in paired} if largest > REFINE_BLOCKS else {}
+    if any(pieces.values()):
+        rows, keys = _with_pieces(rows, pieces, max_h), BUCKET + PIECE_KEYS
+        hot, found, _ = hot_keys(rows.where("piece >= 0"), keys, block_rows, "hot-pieces")
+        rows = rows.join(hot.withColumnRenamed("g", "g_piece"), keys, "left").withColumn(
+            "g", F.when(F.col("piece") >= 0, F.col("g_piece")).otherwise(F.col("g"))
+        )
+    return _pairs_of_lists(block_lists(rows, keys), m, bs, paired, max_h, pieces)
 
 
 def _piece_width(m: int, b: int, max_h: int | None) -> int:
@@ -206,78 +188,69 @@ def _piece_width(m: int, b: int, max_h: int | None) -> int:
     if max_h is None or m > WORD_BITS:
         return 0
     width = (m - band_width(m, b)) // (max_h + 1)
-    return width if 1 << width >= 2 * (max_h + 1) else 0
-
-
-def _outside_band(word: Column, band_idx: Column, width: int) -> Column:
-    """The bits of a one-word signature outside its band, closed up."""
-    below = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), band_idx * width))
-    return word.bitwiseAND(below).bitwiseOR(
-        F.shiftrightunsigned(word, width).bitwiseAND(F.bitwise_not(below))
-    )
+    return width if 1 << width >= 8 * (max_h + 1) else 0
 
 
-def _with_pieces(bands: DataFrame, pieces: dict[int, int], max_h: int | None) -> DataFrame:
-    whole = F.array(F.struct(F.lit(-1).alias("piece"), F.lit(0).cast("long").alias("piece_val")))
-    keyed = whole
+def _with_pieces(bands: DataFrame, pieces: dict[int, int], max_h: int) -> DataFrame:
+    keyed = "array(named_struct('piece', -1, 'piece_val', 0L))"
     for b, width in pieces.items():
         if width:
-            rest = _outside_band(F.col("sig"), F.col("band_idx"), band_width(WORD_BITS, b))
-            mask = F.lit((1 << width) - 1).cast("long")
-            values = [
-                F.struct(F.lit(q).alias("piece"), F.shiftrightunsigned(rest, q * width).bitwiseAND(mask).alias("piece_val"))
-                for q in range(max_h + 1)
-            ]
-            keyed = F.when(F.col("b") == b, F.array(*values)).otherwise(keyed)
-    return bands.select(*BUCKET, "sig", F.inline(keyed))
-
-
-def _first_shared_piece(xored: Column, pieces: dict[int, int], max_h: int | None) -> Column:
-    tests = []
-    for b, width in pieces.items():
-        if width and max_h:
-            rest = _outside_band(xored, F.col("band_idx"), band_width(WORD_BITS, b))
-            earlier = [
-                ~((F.col("piece") > q) & (rest.bitwiseAND(F.lit(((1 << width) - 1) << (q * width)).cast("long")) == 0))
-                for q in range(max_h)
-            ]
-            tests.append((F.col("b") != b) | reduce(lambda a, c: a & c, earlier))
-    return reduce(lambda a, c: a & c, tests) if tests else F.lit(True)
+            split = piece_array("sig", band_width(WORD_BITS, b), width, max_h + 1)
+            keyed = f"if(b = {b} and g > {REFINE_BLOCKS}, {split}, {keyed})"
+    return bands.select(*BUCKET, "sig", "g", F.inline(F.expr(keyed)))
 
 
 def _pairs_of_lists(
-    lists: DataFrame, m: int, bs: list[int], max_h: int | None, pieces: dict[int, int] | None = None
+    lists: DataFrame,
+    m: int,
+    bs: list[int],
+    paired: list[int],
+    max_h: int | None,
+    pieces: dict[int, int] | None = None,
 ) -> DataFrame:
-    keys = ["b", "band_idx", *(["piece"] if pieces else [])]
-    s1, s2 = F.col("s1"), F.col("s2")
-    xored = xor_words(s1, s2, m)
-    h = hamming(s1, s2, m)
-    rights = F.coalesce("rights", F.expr("slice(lefts, at + 2, size(lefts))"))
+    keys = ["b", "band_idx", *(["piece"] if "piece" in lists.columns else [])]
+    xored = xor_words("s1", "s2", m)
+    h = hamming("s1", "s2", m)
     pairs = (
         lists.where((F.size("lefts") >= 2) | F.col("rights").isNotNull())
         .select(*keys, "lefts", "rights", F.posexplode("lefts").alias("at", "s1"))
-        .select(*keys, "s1", F.explode(rights).alias("s2"))
+        .select(*keys, "s1", F.expr("explode(coalesce(rights, slice(lefts, at + 2, size(lefts))))").alias("s2"))
     )
     if max_h is not None:
-        pairs = pairs.where(h <= max_h)
-    pairs = pairs.where(first_shared_band(F.col("b"), F.col("band_idx"), xored, m, bs))
-    if pieces:
-        pairs = pairs.where(_first_shared_piece(xored[0], pieces, max_h))
-    return pairs.select("b", "s1", "s2", h.alias("h"))
+        pairs = pairs.where(f"{h} <= {max_h}")
+    pairs = pairs.where(first_meeting(xored, m, paired))
+    for b, width in (pieces or {}).items():
+        if width:
+            first = first_shared_piece(xored[0], band_width(WORD_BITS, b), width, max_h + 1)
+            pairs = pairs.where(f"b != {b} or piece < 0 or ({first})")
+    return pairs.select("s1", "s2", F.expr(h).alias("h"), shared_counts(xored, m, bs).alias("bs"))
+
+
+def same_signature(groups: DataFrame, bs: Iterable[int]) -> DataFrame:
+    """Signatures of two or more documents, paired with themselves."""
+    sig = F.col("sig")
+    return groups.where(F.col("n") > 1).select(
+        sig.alias("s1"), sig.alias("s2"), F.lit(0).alias("h"), F.lit(list(bs)).alias("bs")
+    )
+
+
+def document_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
+    """All document pairs sharing a band, once: ``d1, d2, h, bs``."""
+    bs = list(bs)
+    signatures = durable(signatures.select("doc_id", "sig").where(F.col("sig").isNotNull()), "signatures")
+    groups = signature_groups(signatures)
+    pairs = signature_pairs(groups, m, bs, max_h).unionByName(same_signature(groups, bs))
+    return expand_pairs(pairs, groups, signatures)
 
 
 def expand_pairs(
-    pairs: DataFrame, groups: DataFrame, signatures: DataFrame, bs: Iterable[int], member_rows: int = MEMBER_ROWS
+    pairs: DataFrame, groups: DataFrame, signatures: DataFrame, member_rows: int = MEMBER_ROWS
 ) -> DataFrame:
-    """Document pairs of signature pairs and of copies: ``b, d1, d2, h``.
+    """Document pairs of signature pairs: ``d1, d2, h, bs``.
 
     The documents of a signature held by many are cut into salted parts, so no join key
     has more than about ``member_rows`` documents.
     """
-    copies = groups.where(F.col("n") > 1).select(
-        F.explode(F.lit(list(bs))).alias("b"), F.col("sig").alias("s1"), F.col("sig").alias("s2"), F.lit(0).alias("h")
-    )
-    pairs = pairs.unionByName(copies)
     hot, found = hot_signatures(groups, member_rows)
     members = signatures.select("doc_id", "sig")
     if found:
@@ -296,7 +269,7 @@ def expand_pairs(
         pairs = pairs.join(members.withColumnsRenamed({"sig": side, "doc_id": doc}), [side, "part"]).drop("part")
     left, right = F.col("d_left"), F.col("d_right")
     return pairs.where((F.col("s1") != F.col("s2")) | (left < right)).select(
-        "b", F.least(left, right).alias("d1"), F.greatest(left, right).alias("d2"), "h"
+        F.least(left, right).alias("d1"), F.greatest(left, right).alias("d2"), "h", "bs"
     )
 
 

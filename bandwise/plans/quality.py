@@ -9,10 +9,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.durable import BROADCAST_ROWS, durable
+from bandwise.durable import BROADCAST_BYTES, BROADCAST_ROWS, durable
 from bandwise.functions.cosine import angle_cosine, dot
 from bandwise.functions.simhash import l2_norm, simhash
-from bandwise.operators.pairs import signature_groups, signature_pairs
+from bandwise.operators.pairs import same_signature, signature_groups, signature_pairs
 
 MEASURES = ["num_docs", "num_pairs", "mean_cosine", "mean_hamming", "cosine_hamming"]
 
@@ -122,11 +122,12 @@ def exact_quality(
     """
     ks, bs, ns = list(ks), list(bs), list(ns)
     groups = signature_groups(signatures)
-    copies = groups.where(F.col("n") > 1).select(
-        F.explode(F.lit(bs)).alias("b"), F.col("sig").alias("s1"), F.col("sig").alias("s2"), F.lit(0).alias("h")
-    )
-    pairs = durable(signature_pairs(groups, m, bs, max(ks)).unionByName(copies), "signature-pairs")
-    sums = unit_sums(vectors, pairs, m, ns, seed)
+    pairs = signature_pairs(groups, m, bs, max(ks)).unionByName(same_signature(groups, bs))
+    pairs = durable(pairs, "signature-pairs")
+    sums = durable(unit_sums(vectors, pairs, m, ns, seed), "unit-sums")
+    rows, dim = sums.agg(F.count(F.lit(1)), F.max(F.size("total"))).first()
+    if rows * 8 * (dim or 0) <= BROADCAST_BYTES:
+        sums = F.broadcast(sums)
     left = sums.select("n", *[F.col(c).alias(f"left_{c}") for c in ("sig", "docs", "units", "total")])
     right = sums.select("n", *[F.col(c).alias(f"right_{c}") for c in ("sig", "docs", "units", "total")])
     joined = (
@@ -142,7 +143,7 @@ def exact_quality(
 
     weighted = joined.select(
         "n",
-        "b",
+        "bs",
         F.col("left_sig").alias("left_key"),
         F.col("right_sig").alias("right_key"),
         "left_docs",
@@ -152,6 +153,7 @@ def exact_quality(
         F.when(same, (product - F.col("left_units")) / 2).otherwise(product).alias("sum_cos"),
         across("left_units", "right_units").alias("n_cos"),
     ).where(F.col("pairs") > 0)
+    weighted = weighted.withColumn("b", F.explode("bs")).drop("bs")
     return weighted_quality(weighted, ks, m, {"n": ns, "b": bs})
 
 

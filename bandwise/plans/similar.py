@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bandwise.functions.simhash import with_simhash
 from bandwise.operators.banding import band_keys
 from bandwise.operators.buckets import FOREVER, TRUNCATE, cap_buckets
-from bandwise.operators.pairs import candidate_pairs, merged_pairs, per_band_count, with_cosine
+from bandwise.operators.pairs import document_pairs, merged_pairs, per_band_count, with_cosine
 
 
 def similar_pairs(
@@ -29,15 +29,10 @@ def similar_pairs(
     bs = list(bs)
     signatures = with_simhash(vectors, m, seed).select("doc_id", "sig")
     if cap is None:
-        found = candidate_pairs(signatures, m, bs, None, mode, k)
-        if len(bs) == 1:
-            return with_cosine(found, vectors).select("b", "d1", "d2", "h", "cos")
-        merged = found.groupBy("d1", "d2", "h").agg(
-            *[F.max(F.when(F.col("b") == b, F.lit(1))).alias(f"until_{b}") for b in bs]
-        )
-    else:
-        capped = cap_buckets(band_keys(signatures, m, bs), cap, mode, by_prefix=True)
-        merged = merged_pairs(whole_table(capped, mode), m, bs, k)
+        scored = with_cosine(document_pairs(signatures, m, bs, k), vectors)
+        return scored.select(F.explode("bs").alias("b"), "d1", "d2", "h", "cos")
+    capped = cap_buckets(band_keys(signatures, m, bs), cap, mode, by_prefix=True)
+    merged = merged_pairs(whole_table(capped, mode), m, bs, k)
     return per_band_count(with_cosine(merged, vectors), bs).select("b", "d1", "d2", "h", "cos")
 
 

@@ -46,7 +46,7 @@ def sweep(
     tables = []
     for m in ms:
         signed = signatures if m == max(ms) else signatures.select(
-            "doc_id", prefix_signature(F.col("sig"), max(ms), m).alias("sig")
+            "doc_id", prefix_signature("sig", max(ms), m).alias("sig")
         )
         if cap is None:
             tables.append(exact_quality(vectors, signed, ks, m, bs, ns, seed))
