@@ -50,4 +50,4 @@ def finished_sizes(spark: SparkSession, path: str, fmt: str = "parquet") -> set[
 def write_pairs(pairs: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write scored pairs as parquet, one folder per band count, and return the written table."""
     pairs.write.mode(mode).partitionBy("b").parquet(path)
-    return pairs.sparkSession.read.schema(pairs.schema).parquet(path)
+    return pairs.sparkSession.read.schema(pairs.schema).parquet(path).select(*pairs.columns)
