@@ -108,32 +108,58 @@ def generating_counts(m: int, bs: Iterable[int]) -> list[int]:
     ]
 
 
+def by_count(values: dict[int, str]) -> str:
+    """The value for the row's band count ``b``."""
+    if len(values) == 1:
+        return next(iter(values.values()))
+    return "case b " + " ".join(f"when {b} then {value}" for b, value in values.items()) + " end"
+
+
+def field_columns(m: int, bs: list[int]) -> dict[str, Column]:
+    """Columns for :func:`no_field_agrees`: the row's band width, and masks over all bands but the last.
+
+    ``field_low`` has every bit of those bands but the highest, ``field_high`` the highest.
+    """
+    widths, low, high = {}, {}, {}
+    for b in bs:
+        r = band_width(m, b)
+        widths[b] = str(r)
+        low[b] = f"{sum(((1 << (r - 1)) - 1) << (i * r) for i in range(b - 1))}L"
+        high[b] = f"{sum(1 << (i * r + r - 1) for i in range(b - 1))}L"
+    named = {"field_width": widths, "field_low": low, "field_high": high}
+    return {name: F.expr(by_count(values)) for name, values in named.items()}
+
+
+def no_field_agrees(xored: str, among: str) -> str:
+    """True when a one-word XOR is non-zero in every band whose bits are set in ``among``.
+
+    Other bands are filled with ones. Adding ``field_low`` then carries into a band's
+    highest bit exactly if a lower bit is set, so one sum tests all bands. The last band
+    is never asked for; leaving it out keeps the sum clear of the sign bit.
+    """
+    filled = f"({xored} | ~({among}))"
+    return f"(((({filled} & field_low) + field_low) | {filled}) & field_high) = field_high"
+
+
 def first_meeting(xored: list[str], m: int, bs: list[int]) -> str:
     """True when the pair agrees in no band of ``bs`` before the row's own ``b, band_idx``.
 
     A pair meets once in every band it shares. Keeping it only in the first one removes
-    the repeats without a shuffle.
+    the repeats without a shuffle. Needs the columns of :func:`field_columns` for a
+    one-word signature.
     """
-    tests = ["true"]
+    if m <= WORD_BITS:
+        tests = [no_field_agrees(xored[0], "~shiftleft(-1L, band_idx * field_width)")]
+    else:
+        tests = [
+            f"not (b = {b} and band_idx > {j} and {range_is_zero(xored, j * band_width(m, b), band_width(m, b))})"
+            for b in bs for j in range(b - 1)
+        ]
     for at, value in enumerate(bs):
-        r = band_width(m, value)
-        tests += [f"not (b = {value} and band_idx > {j} and {range_is_zero(xored, j * r, r)})" for j in range(value - 1)]
         later = ", ".join(map(str, bs[at + 1 :]))
         if later:
             tests.append(f"not (b in ({later}) and {shares_band(xored, m, value)})")
-    return " and ".join(tests)
-
-
-def first_surviving_meeting(xored: list[str], alive: str, m: int, bs: list[int]) -> str:
-    """As :func:`first_meeting` within each band count, over the bands whose bit is set in ``alive``."""
-    tests = ["true"]
-    for value in bs:
-        r = band_width(m, value)
-        tests += [
-            f"not (b = {value} and band_idx > {j} and ({alive} & {mask(1, j)}) != 0L and {range_is_zero(xored, j * r, r)})"
-            for j in range(value - 1)
-        ]
-    return " and ".join(tests)
+    return " and ".join(["true", *tests])
 
 
 def outside_band(word: str, width: int) -> str:

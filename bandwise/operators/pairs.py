@@ -11,11 +11,12 @@ from bandwise.durable import broadcast_if_small, durable
 from bandwise.functions.bits import (
     WORD_BITS,
     band_width,
+    field_columns,
     first_meeting,
     first_shared_piece,
-    first_surviving_meeting,
     generating_counts,
     hamming,
+    no_field_agrees,
     piece_array,
     shared_counts,
     xor_words,
@@ -94,32 +95,46 @@ def candidate_pairs(
     if cap is None:
         return document_pairs(signatures, m, bs, max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
     capped = cap_buckets(band_keys(signatures.select("doc_id", "sig"), m, bs), cap, mode)
-    if max_h is None and max(bs) < WORD_BITS:
+    if max_h is None and m <= WORD_BITS:
         return once_per_pair(capped, m, bs)
     return pairs_within(bucket_lists(capped), m, max_h).dropDuplicates(["b", "d1", "d2"]).select("b", "d1", "d2", "h")
 
 
 def once_per_pair(capped: DataFrame, m: int, bs: list[int]) -> DataFrame:
-    """Distinct pairs of capped buckets without a shuffle of pairs.
+    """Distinct pairs of capped buckets without a shuffle of pairs, for one-word signatures.
 
     A capped bucket may have lost one side of a pair, so a shared band counts only if
-    both sides survived in it. Each document carries a bit set of the bands it survived
-    in, and a pair is kept in the first band where both have the bit and agree.
+    both sides survived in it. Each document carries the bits of the bands it survived
+    in, and a pair is kept in the first band that both still have and agree in.
     """
-    survived = capped.groupBy("b", "doc_id").agg(
-        F.first("sig").alias("sig"), F.expr("bit_or(shiftleft(1L, band_idx))").alias("alive")
+    fields = field_columns(m, bs)
+    own_band = F.expr("shiftleft(shiftrightunsigned(-1L, 64 - field_width), band_idx * field_width)")
+    survived = (
+        capped.withColumns(fields)
+        .groupBy("b", "doc_id")
+        .agg(F.first("sig").alias("sig"), F.bit_or(own_band).alias("alive"))
     )
-    keyed = band_keys(survived.withColumnRenamed("b", "_b"), m, bs).where(
-        (F.col("b") == F.col("_b")) & F.expr("(shiftrightunsigned(alive, band_idx) & 1L) = 1L")
+    keyed = (
+        band_keys(survived.withColumnRenamed("b", "_b"), m, bs)
+        .where(F.col("b") == F.col("_b"))
+        .withColumns(fields)
+        .where("(alive & shiftleft(1L, band_idx * field_width)) != 0L")
+        .withColumn("earlier", F.expr("alive & ~shiftleft(-1L, band_idx * field_width)"))
     )
-    lists = keyed.groupBy(*BUCKET).agg(F.collect_list(F.struct("doc_id", "sig", "alive")).alias("members"))
-    first_time = first_surviving_meeting(xor_words("one.sig", "two.sig", m), "one.alive & two.alive", m, bs)
+    lists = keyed.groupBy(*BUCKET).agg(F.collect_list(F.struct("doc_id", "sig", "earlier")).alias("members"))
+    masks = ["field_low", "field_high"]
     return (
         lists.where(F.size("members") >= 2)
-        .select("b", "band_idx", "members", F.posexplode("members").alias("at", "one"))
-        .select("b", "band_idx", "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
-        .where(first_time)
-        .select("b", F.expr(SMALLER_ID).alias("d1"), F.expr(GREATER_ID).alias("d2"), F.expr(hamming("one.sig", "two.sig", m)).alias("h"))
+        .withColumns({name: fields[name] for name in masks})
+        .select("b", *masks, "members", F.posexplode("members").alias("at", "one"))
+        .select("b", *masks, "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
+        .where(no_field_agrees(xor_words("one.sig", "two.sig", m)[0], "one.earlier & two.earlier"))
+        .select(
+            "b",
+            F.expr(SMALLER_ID).alias("d1"),
+            F.expr(GREATER_ID).alias("d2"),
+            F.expr(hamming("one.sig", "two.sig", m)).alias("h"),
+        )
         .where("d1 < d2")
     )
 
@@ -211,6 +226,9 @@ def _pairs_of_lists(
     keys = ["b", "band_idx", *(["piece"] if "piece" in lists.columns else [])]
     xored = xor_words("s1", "s2", m)
     h = hamming("s1", "s2", m)
+    if m <= WORD_BITS:
+        fields = field_columns(m, paired)
+        lists, keys = lists.withColumns(fields), [*keys, *fields]
     pairs = (
         lists.where((F.size("lefts") >= 2) | F.col("rights").isNotNull())
         .select(*keys, "lefts", "rights", F.posexplode("lefts").alias("at", "s1"))
