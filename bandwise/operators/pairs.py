@@ -292,12 +292,10 @@ def expand_pairs(
 
 
 def hot_signatures(groups: DataFrame, member_rows: int) -> tuple[DataFrame, int]:
-    hot = durable(
-        groups.where(F.col("n") > member_rows).select("sig", F.ceil(F.col("n") / member_rows).cast("int").alias("g")),
-        "hot-signatures",
-    )
+    """Signatures of more than ``member_rows`` documents with the parts ``g`` each needs, and their count."""
+    hot = groups.where(F.col("n") > member_rows)
     found = hot.count()
-    return broadcast_if_small(hot, found), found
+    return broadcast_if_small(hot.select("sig", F.ceil(F.col("n") / member_rows).cast("int").alias("g")), found), found
 
 
 def with_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -16,10 +16,10 @@ from bandwise.operators.banding import band_keys
 from bandwise.operators.buckets import TRUNCATE, cap_buckets
 from bandwise.operators.pairs import merged_pairs, per_band_count, with_cosine
 from bandwise.plans.quality import exact_quality, quality_by_k
-from bandwise.sources.sinks import finished_sizes, write_quality
+from bandwise.sources.sinks import finished_sizes, read_quality, write_quality
 from bandwise.sources.vectors import first_n
 
-REFERENCE_CAP = 300
+PUBLISHED_CAP = 300
 
 
 def sweep(
@@ -78,6 +78,4 @@ def run_sweep(vectors: DataFrame, ns: Iterable[int], path: str, fmt: str = "parq
         rows = sweep(vectors, [n], **grid).toPandas()
         rows["time_sec"] = (time.perf_counter() - started) / max(len(rows), 1)
         write_quality(spark.createDataFrame(rows), path, fmt)
-    from bandwise.sources.sinks import read_quality
-
     return read_quality(spark, path, fmt)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bandwise.durable import durable
 from bandwise.functions.simhash import with_norm, with_simhash
 from bandwise.operators.banding import BUCKET, band_keys, bucket_sizes
 from bandwise.operators.buckets import DROP, TRUNCATE, cap_buckets
@@ -176,6 +177,11 @@ def swept(
     return query
 
 
+def stored(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The result as a written table, for reports that read it more than once."""
+    return lambda spark, sf_dir: durable(query(spark, sf_dir), "report")
+
+
 def pair_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similar pairs by table size at the middle threshold: a repeatable measure of growth."""
     return representative_k(swept(bs=(8, 16))(spark, sf_dir), KS).select("n", "b", "num_pairs")
@@ -186,7 +192,7 @@ def pair_growth_exponent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_growth_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return growth_curves(pair_growth(spark, sf_dir), "num_pairs").select(
+    return growth_curves(stored(pair_growth)(spark, sf_dir), "num_pairs").select(
         "n", rounded("linear").alias("linear"), rounded("quadratic").alias("quadratic")
     )
 
@@ -225,7 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sweep_quality_truncate": swept(CAP),
         "sweep_quality_drop": swept(CAP, DROP),
         "sweep_signature_bits": swept(ms=(32, 64, 128), bs=(8,), ks=(12, 20, 44)),
-        "sweep_largest_n": lambda spark, sf_dir: largest_n(swept()(spark, sf_dir)),
+        "sweep_largest_n": lambda spark, sf_dir: largest_n(stored(swept())(spark, sf_dir)),
         "sweep_representative_k": lambda spark, sf_dir: representative_k(swept()(spark, sf_dir), KS),
         "scaling_exponent": pair_growth_exponent,
         "growth_curves": pair_growth_curves,

@@ -35,6 +35,7 @@ class RecordRange(InputPartition):
     """Records ``[first, first + count)`` of a file whose record 0 has id ``base``."""
 
     path: str
+    dim: int
     base: int
     first: int
     count: int
@@ -87,9 +88,8 @@ class FvecsReader(DataSourceReader):
             total = size // record
             wanted = total if self.limit is None else max(0, min(total, self.limit - base))
             for first in range(0, wanted, step):
-                ranges.append(RecordRange(path, base, first, min(step, wanted - first)))
+                ranges.append(RecordRange(path, dim, base, first, min(step, wanted - first)))
             base += total
-        self.dim = dim
         return ranges
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
@@ -97,15 +97,14 @@ class FvecsReader(DataSourceReader):
             return
         system, inner = open_filesystem(partition.path)
         with system.open_input_file(inner) as stream:
-            dim = int(np.frombuffer(stream.read_at(4, 0), dtype="<i4")[0])
-            record = 4 * (dim + 1)
+            dim, record = partition.dim, 4 * (partition.dim + 1)
             step = max(1, BATCH_BYTES // record)
             stop = partition.first + partition.count
             for first in range(partition.first, stop, step):
                 count = min(step, stop - first)
                 rows = np.frombuffer(stream.read_at(count * record, first * record), dtype="<i4").reshape(count, dim + 1)
                 if (rows[:, 0] != dim).any():
-                    raise ValueError(f"{partition.path}: records differ in length")
+                    raise ValueError(f"{partition.path}: records differ in length from {dim}")
                 values = np.ascontiguousarray(rows[:, 1:]).view("<f4").ravel()
                 offsets = np.arange(count + 1, dtype=np.int32) * dim
                 ids = np.arange(partition.base + first, partition.base + first + count, dtype=np.int64)

@@ -29,7 +29,7 @@ def write_quality(quality: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_quality(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The whole quality table, reference columns first."""
+    """The whole quality table."""
     reader = spark.read.schema(QUALITY_SCHEMA).format(fmt)
     rows = (reader.option("header", True) if fmt == "csv" else reader).load(path)
     first = ["n", "b", "m", "k", "num_docs", "time_sec", "mean_cosine", "cosine_hamming"]
