@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 # Functions run inside tasks travel with the job, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+from bandwise.durable import release
 from bandwise.functions.cosine import angle_cosine, cosine
 from bandwise.functions.simhash import hyperplanes, l2_norm, simhash, with_norm, with_simhash
 from bandwise.operators.banding import band_keys, bucket_sizes
@@ -41,6 +42,7 @@ __all__ = [
     "read_fvecs",
     "read_quality",
     "read_vectors",
+    "release",
     "representative_k",
     "run_sweep",
     "scaling_exponent",

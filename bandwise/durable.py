@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 _local_folder: list[str] = []
+_written: list[str] = []
 
 
 def durable_dir(spark: SparkSession) -> str:
@@ -38,9 +40,26 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{durable_dir(spark).rstrip('/')}/bandwise-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint for a written table whose counted ``rows`` are few; plain shuffle join beyond."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def written_tables() -> list[str]:
+    """Paths of the intermediate tables of this process that are not released yet."""
+    return list(_written)
+
+
+def release(paths: list[str] | None = None) -> None:
+    """Delete intermediate tables, by default all of this process.
+
+    Call it once the results that read them are computed or stored.
+    """
+    for path in written_tables() if paths is None else paths:
+        system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        system.delete_dir(inner)
+        _written.remove(path)

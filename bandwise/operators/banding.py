@@ -13,9 +13,12 @@ BUCKET = ["b", "band_idx", "band_val"]
 
 
 def band_keys(signatures: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
-    """One row per signature, band count and band: the input columns plus ``b, band_idx, band_val``."""
+    """One row per signature, band count and band: the input columns plus ``b, band_idx, band_val``.
+
+    Rows without a signature have no bands.
+    """
     kept = [F.col(c) for c in signatures.columns]
-    return signatures.select(*kept, F.inline(band_array("sig", m, bs)))
+    return signatures.where(F.col("sig").isNotNull()).select(*kept, F.inline(band_array("sig", m, bs)))
 
 
 def bucket_sizes(bands: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from bandwise.operators.banding import BUCKET
 TRUNCATE = "truncate"
 DROP = "drop"
 FOREVER = (1 << 63) - 1
+MANY_BLOCKS = 64
+LARGE_BLOCK = 16
 
 
 def cap_buckets(
@@ -51,12 +53,18 @@ def cap_buckets(
 
 
 def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[DataFrame, int, int]:
-    """Keys with more than ``limit`` rows and the blocks ``g`` each needs, their count, and the largest ``g``."""
+    """Keys with more than ``limit`` rows and the blocks ``g`` each needs, their count, and the largest ``g``.
+
+    Each row is sent once per block, so beyond ``MANY_BLOCKS`` blocks grow, up to
+    ``LARGE_BLOCK`` times the limit, before their number does.
+    """
+    blocks = F.ceil(F.col("_rows") / limit)
+    large = F.ceil(F.col("_rows") / (limit * LARGE_BLOCK))
     hot = durable(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > limit)
-        .select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("g")),
+        .select(*keys, F.greatest(F.least(blocks, F.lit(MANY_BLOCKS)), large).cast("int").alias("g")),
         label,
     )
     found, largest = hot.agg(F.count(F.lit(1)), F.max("g")).first()

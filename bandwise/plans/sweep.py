@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.durable import durable
+from bandwise.durable import durable, release, written_tables
 from bandwise.functions.bits import prefix_signature
 from bandwise.functions.simhash import with_simhash
 from bandwise.operators.banding import band_keys
@@ -74,8 +74,9 @@ def run_sweep(vectors: DataFrame, ns: Iterable[int], path: str, fmt: str = "parq
     for n in sorted(set(ns)):
         if n in done:
             continue
-        started = time.perf_counter()
+        started, before = time.perf_counter(), set(written_tables())
         rows = sweep(vectors, [n], **grid).toPandas()
         rows["time_sec"] = (time.perf_counter() - started) / max(len(rows), 1)
         write_quality(spark.createDataFrame(rows), path, fmt)
+        release([table for table in written_tables() if table not in before])
     return read_quality(spark, path, fmt)

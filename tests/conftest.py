@@ -12,7 +12,7 @@ from bandwise.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("checkpoints"))
-    session = local_session("tests", spark__checkpoint__dir=folder, spark__driver__memory="6g")
+    session = local_session("tests", spark__checkpoint__dir=folder, spark__driver__memory="6g", spark__sql__shuffle__partitions="3")
     yield session
     session.stop()
 

@@ -44,15 +44,15 @@ def test_candidates_match_brute_force(table, clustered, m, bs, cap, mode):
         assert found(near, b) == {(i, j) for i, j in expected if (bits[i] != bits[j]).sum() <= 6}
 
 
-@pytest.mark.parametrize("max_h", [None, 0, 1, 3, 6])
-def test_hot_buckets_are_split_without_losing_pairs(spark, monkeypatch, max_h):
+@pytest.mark.parametrize("max_h,block_rows", [(None, 20), (0, 20), (1, 20), (3, 20), (6, 20), (6, 2)])
+def test_hot_buckets_are_split_without_losing_pairs(spark, monkeypatch, max_h, block_rows):
     """A band shared by everyone, near copies inside it, and tiny limits that force every kind of split."""
     monkeypatch.setattr(P, "REFINE_BLOCKS", 4)
     rng = np.random.default_rng(11)
     centers = rng.integers(0, 2**62, 40)
     sigs = {int((c ^ (1 << int(f))) & ~0xFFFF) | 0x1234 for c in centers for f in rng.integers(16, 60, 8)}
     groups = spark.createDataFrame([(s, 1) for s in sigs], "sig long, n long")
-    got = [tuple(r) for r in P.signature_pairs(groups, 64, [3, 4, 8], max_h, block_rows=20).collect()]
+    got = [tuple(r) for r in P.signature_pairs(groups, 64, [3, 4, 8], max_h, block_rows=block_rows).collect()]
     unordered = {(frozenset(r[:2]), r[2], tuple(r[3])) for r in got}
     assert len(unordered) == len(got)
     ordered = sorted(sigs)
@@ -170,6 +170,14 @@ def test_zero_vectors_have_no_cosine(table):
     assert quality_by_k(pairs, [0], 64, [8]).first().mean_cosine is None
 
 
+@pytest.mark.parametrize("cap", [None, 300])
+def test_missing_vectors_form_no_pairs(table, cap):
+    vectors = table([None, None, [1.0, 2.0], [1.0, 2.0]])
+    assert [(r.d1, r.d2) for r in similar_pairs(vectors, 64, [8], None, cap).collect()] == [(2, 3)]
+    signatures = with_simhash(vectors).select("doc_id", "sig")
+    assert candidate_count(signatures, 64, [8], cap).first().candidates == 1
+
+
 @pytest.mark.parametrize("rows", [0, 1])
 @pytest.mark.parametrize("cap", [None, 300])
 def test_tiny_tables(table, rows, cap):

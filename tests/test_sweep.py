@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from brute import candidates, quality, scored, sign_bits
 
+from bandwise.durable import durable, release, written_tables
 from bandwise.plans.report import growth_curves, largest_n, representative_k, scaling_exponent
 from bandwise.plans.sweep import run_sweep, sweep
 from bandwise.sources.sinks import finished_sizes, write_pairs, write_quality
@@ -57,6 +58,18 @@ def test_a_run_continues_where_it_stopped(spark, table, clustered, tmp_path, fmt
     assert finished_sizes(spark, str(tmp_path / "again"), fmt) == {40}
 
 
+def test_intermediate_tables_are_released(spark, table, clustered, tmp_path):
+    before = set(written_tables())
+    run_sweep(table(clustered), [60], str(tmp_path / "quality"), ks=KS).collect()
+    assert set(written_tables()) == before
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert all(path.startswith(folder) for path in before)
+    kept = durable(table(clustered), "kept")
+    assert kept.count() == len(clustered)
+    release([path for path in written_tables() if path not in before])
+    assert set(written_tables()) == before
+
+
 def test_scored_pair_table(spark, table, clustered, tmp_path):
     from bandwise.plans.similar import similar_pairs
 
