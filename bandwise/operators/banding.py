@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.functions.bits import band_array
+from bandwise.functions.bits import WORD_BITS, band_array, band_width
 
 BUCKET = ["b", "band_idx", "band_val"]
 
@@ -17,8 +17,12 @@ def band_keys(signatures: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
 
     Rows without a signature have no bands.
     """
+    bs = list(bs)
     kept = [F.col(c) for c in signatures.columns]
-    return signatures.where(F.col("sig").isNotNull()).select(*kept, F.inline(band_array("sig", m, bs)))
+    bands = signatures.select(*kept, F.inline(band_array("sig", m, bs)))
+    # On the key, not on sig: that test would move below the projection and compute signatures twice.
+    wide = any(band_width(m, b) > WORD_BITS for b in bs)
+    return bands.where("band_val[0] is not null" if wide else "band_val is not null")
 
 
 def bucket_sizes(bands: DataFrame) -> DataFrame:

@@ -148,7 +148,7 @@ def candidate_count(
     """
     bs = list(bs)
     if cap is None:
-        signatures = durable(signatures.select("doc_id", "sig").where(F.col("sig").isNotNull()), "signatures")
+        signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
         groups = signature_groups(signatures)
         n = {side: groups.select(F.col("sig").alias(side), F.col("n").cast("double").alias(f"n_{side}")) for side in ("s1", "s2")}
         apart = signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
@@ -255,7 +255,7 @@ def same_signature(groups: DataFrame, bs: Iterable[int]) -> DataFrame:
 def document_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
     """All document pairs sharing a band, once: ``d1, d2, h, bs``."""
     bs = list(bs)
-    signatures = durable(signatures.select("doc_id", "sig").where(F.col("sig").isNotNull()), "signatures")
+    signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
     groups = signature_groups(signatures)
     pairs = signature_pairs(groups, m, bs, max_h).unionByName(same_signature(groups, bs))
     return expand_pairs(pairs, groups, signatures)

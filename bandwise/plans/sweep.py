@@ -39,8 +39,8 @@ def sweep(
     was still within the cap), so all sizes share one signature, banding and pairing run.
     """
     ns, ms, bs, ks = sorted(set(ns)), list(ms), list(bs), list(ks)
-    vectors = first_n(vectors.select("doc_id", "vec"), ns[-1])
-    signatures = with_simhash(vectors, max(ms), seed).select("doc_id", "sig").where(F.col("sig").isNotNull())
+    vectors = first_n(vectors.select("doc_id", "vec").where(F.col("vec").isNotNull()), ns[-1])
+    signatures = with_simhash(vectors, max(ms), seed).select("doc_id", "sig")
     if cap is None or len(ms) > 1:
         signatures = durable(signatures, "signatures")
     tables = []
