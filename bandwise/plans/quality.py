@@ -169,7 +169,9 @@ def unit_sums(vectors: DataFrame, pairs: DataFrame, m: int, ns: list[int], seed:
     )
     signed = vectors.select("doc_id", "vec", simhash("vec", m, seed).alias("sig"))
     if paired.count() <= BROADCAST_ROWS:
-        signed = signed.join(F.broadcast(paired), "sig", "left_semi")
+        # Null-safe, as a plain test would add "sig is not null" below the projection and compute signatures twice.
+        few = F.broadcast(paired.withColumnRenamed("sig", "paired_sig"))
+        signed = signed.join(few, F.col("sig").eqNullSafe(F.col("paired_sig")), "left_semi")
     norm = l2_norm("vec")
     unit = F.transform("vec", lambda x: x.cast("double") * F.col("inverse"))
     reached = F.filter(F.lit(sorted(ns)).cast("array<bigint>"), lambda n: n > F.col("doc_id"))
