@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.durable import durable
-from bandwise.llm import bpe, packing, simhash_dedup
+from bandwise.llm import bpe, langid, packing, simhash_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = langid.with_language(docs.select("doc_id", "text"), langid.fit(docs))
+    held = langid.held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score", "accepted")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,5 +38,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op9_simhash, op10_packing]
+    named = [op1_bpe, op7_langid, op9_simhash, op10_packing]
     return {query.__name__: query for query in named}
