@@ -36,3 +36,34 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+SCAN_BLOCK = 64
+
+
+def scan(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Running results of ``step`` over an array, one per element, ``start`` itself left out.
+
+    Arrays cannot grow in place here, so results are gathered in blocks: an array of n elements
+    costs n * ``SCAN_BLOCK`` / 2 copies, not n * n / 2.
+    """
+
+    def over(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / SCAN_BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * SCAN_BLOCK + 1, F.lit(SCAN_BLOCK)))
+
+        def grown(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+            return F.aggregate(values, F.array(start), lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x))))
+
+        def inside(blocks: Column) -> Column:
+            starts = grown(blocks, start, lambda done, block: F.aggregate(block, done, step))
+            return let(
+                starts,
+                lambda starts: F.flatten(
+                    F.transform(blocks, lambda block, k: F.slice(grown(block, starts[k], step), 2, SCAN_BLOCK))
+                ),
+            )
+
+        return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(let(blocks, inside))
+
+    return let(values, over)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.durable import durable
-from bandwise.llm import bpe, langid, packing, simhash_dedup
+from bandwise.llm import bpe, langid, packing, secret_scan, simhash_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    counts = [secret_scan.count_of("base", k).alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_scan.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_owned"),
+        F.col("n_copied").cast("long").alias("n_copied"),
+    )
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = langid.with_language(docs.select("doc_id", "text"), langid.fit(docs))
@@ -38,5 +51,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op7_langid, op9_simhash, op10_packing]
+    named = [op1_bpe, op5_secrets, op7_langid, op9_simhash, op10_packing]
     return {query.__name__: query for query in named}
