@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, langid, packing, secret_scan, simhash_dedup
+from bandwise.llm import bpe, langid, line_dedup, packing, secret_scan, simhash_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,6 +41,20 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held, "lang_pred", "score", "accepted")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    lost = line_dedup.dropped_lines(docs)
+    lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines")
+    every = docs.select("doc_id", F.xxhash64("text").alias("text_key"), lines)
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & F.col("text_key").eqNullSafe(F.col("key"))
+    return every.join(lost, same, "left").select(
+        "doc_id",
+        "n_lines",
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.array_join("lines", ","), F.lit("")).alias("dropped"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -50,6 +65,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(durable(parts, "pieces"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op5_secrets, op7_langid, op9_simhash, op10_packing]
+    named = [op1_bpe, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
     return {query.__name__: query for query in named}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

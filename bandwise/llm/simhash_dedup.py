@@ -157,22 +157,28 @@ def fingerprint_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFr
     return links.union(contract(again, ["half", "met", "quarter", "again"], RADIUS))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: every document with the smallest ``doc_id`` reachable over
-    links of at most three differing bits, itself included.
-
-    Documents without words have fingerprint zero and are linked like any other. Equal fingerprints
-    are one node, so copies cost one row. A null ``doc_id`` keeps its row, and its component is
-    the smallest id that is not null, or null. Rows that share a ``doc_id`` are documents of their own.
+def with_components(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``fingerprint``, ``component`` (one number per group) and ``component_id``, the smallest
+    ``doc_id`` of the group.
+
+    Documents link at three or fewer differing bits; those without words have fingerprint zero and are
+    linked like any other. Equal fingerprints are one node, so copies cost one row. A null ``doc_id``
+    keeps its row; a group without any id has a null ``component_id``. Rows that share a ``doc_id``
+    are documents of their own.
     """
-    prints = durable(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fingerprint"), "prints")
-    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    classes = durable(classes, "classes")
-    found = components(fingerprint_links(classes.select("fingerprint")))
-    found = durable(found.toDF("fingerprint", "component"), "components")
-    named = classes.join(found, "fingerprint").groupBy("component").agg(F.min("first").alias("component_id"))
-    named = found.join(named, "component").select("fingerprint", "component_id")
-    all_named = classes.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "first").alias("component_id")
-    )
-    return prints.join(all_named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    prints = docs if "fingerprint" in docs.columns else with_fingerprint(docs)
+    ids = durable(prints.select("doc_id", "fingerprint"), "prints")
+    classes = durable(ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
+    found = components(fingerprint_links(classes.select("fingerprint"))).toDF("fingerprint", "component")
+    groups = classes.join(found, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    groups = durable(groups, "components")
+    named = groups.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = groups.join(named, "component").select("fingerprint", "component", "component_id")
+    if set(docs.columns) <= {"doc_id", "text"}:
+        return ids.join(named, "fingerprint")
+    return prints.join(named, "fingerprint")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every document, see ``with_components``."""
+    return with_components(docs.select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
