@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, langid, line_dedup, packing, secret_scan, simhash_dedup
+from bandwise.llm import bpe, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_pairs(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        minhash.readable("print").alias("fingerprint"),
+        minhash.readable("edited_print").alias("edited_fingerprint"),
+        minhash.likeness("print", "edited_print").alias("near_edited"),
+        minhash.likeness("print", "next_print").alias("near_next"),
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents(spark, sf_dir).select("doc_id", "text", "source"))
     counts = [secret_scan.count_of("base", k).alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
@@ -70,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
+    named = [op1_bpe, op2_minhash, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
     return {query.__name__: query for query in named}
 
 
