@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup
+from bandwise.llm import bpe, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = embed_dedup.near_vectors(vectors.select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vec")))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents(spark, sf_dir).select("doc_id", "text", "source"))
     counts = [secret_scan.count_of("base", k).alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
@@ -82,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
     return {query.__name__: query for query in named}
 
 
