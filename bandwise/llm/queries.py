@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup
+from bandwise.llm import bpe, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -52,6 +52,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = langid.with_language(docs.select("doc_id", "text"), langid.fit(docs))
@@ -88,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op3_embeddings, op5_secrets, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
     return {query.__name__: query for query in named}
 
 
