@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
+from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +39,10 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(documents(spark, sf_dir))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents(spark, sf_dir).select("doc_id", "text", "source"))
     counts = [secret_scan.count_of("base", k).alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
@@ -98,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op3_embeddings, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
     return {query.__name__: query for query in named}
 
 
