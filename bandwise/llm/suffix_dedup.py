@@ -137,7 +137,8 @@ def contexts(asked: DataFrame) -> DataFrame:
         )
 
     schema = "anchor long, k1 long, k2 int, pos long, before binary, after binary"
-    return asked.select(*KEY, "text", "hits").mapInArrow(cut, schema)
+    # With doc_id the texts are shuffled as for the last step, so Spark shuffles them once for both.
+    return asked.select(*KEY, "text", "hits", "doc_id").mapInArrow(cut, schema)
 
 
 def characters(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +299,7 @@ def without_repeats(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     def surrounded(which: DataFrame) -> DataFrame:
         hits = found.join(which.select("anchor"), "anchor").groupBy(*KEY).agg(F.collect_set(F.struct("pos", "anchor")).alias("hits"))
-        return contexts(keyed.join(hits, KEY).select(*KEY, "text", "hits"))
+        return contexts(keyed.join(hits, KEY))
 
     spans = sorted_buckets(surrounded(usual))
     if hot.count():
