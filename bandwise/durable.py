@@ -7,7 +7,6 @@ import shutil
 import tempfile
 import uuid
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +59,8 @@ def release(paths: list[str] | None = None) -> None:
     Call it once the results that read them are computed or stored.
     """
     for path in written_tables() if paths is None else paths:
-        system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-        system.delete_dir(inner)
+        spark = SparkSession.active()
+        # Through Hadoop's file systems, as Spark wrote it: any scheme, or none.
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
         _written.remove(path)

@@ -46,7 +46,8 @@ def simhash(vec: Column | str, m: int = 64, seed: int = 42) -> Column:
     """Signature of a vector column: bit j is set when plane j has a strictly positive product.
 
     LONG for ``m <= 64``, otherwise ARRAY<LONG> of 64-bit words. The planes are drawn
-    again from the seed inside each task, so nothing is broadcast.
+    again from the seed inside each task, so nothing is broadcast. NULL vectors and those
+    with an element that is NULL or not finite get NULL.
     """
     if m < 1:
         raise ValueError("m must be positive")
@@ -61,6 +62,9 @@ def simhash(vec: Column | str, m: int = 64, seed: int = 42) -> Column:
             words = -(-m // WORD_BITS)
             packed = np.zeros((len(column), words), dtype=np.int64)
             present = column.is_valid().to_numpy(zero_copy_only=False)
+            finite = np.isfinite(matrix).all(axis=1)
+            matrix = matrix[finite]
+            present[present] = finite
             if matrix.shape[0]:
                 if planes is None or planes.shape[1] != matrix.shape[1]:
                     planes = hyperplanes(m, matrix.shape[1], seed)
@@ -76,11 +80,17 @@ def simhash(vec: Column | str, m: int = 64, seed: int = 42) -> Column:
     return as_signature(F.col(vec) if isinstance(vec, str) else vec)
 
 
+def vector_length(vectors: DataFrame) -> int | None:
+    """Length of any one vector, which all others must then have."""
+    row = vectors.where(F.col("vec").isNotNull()).select(F.size("vec").alias("dim")).first()
+    return row.dim if row else None
+
+
 def with_simhash(vectors: DataFrame, m: int = 64, seed: int = 42, dim: int | None = None) -> DataFrame:
     """Add ``sig`` to ``(doc_id, vec)`` rows; ``dim`` asserts the vector length."""
     vec = F.col("vec")
     if dim is not None:
-        vec = F.when(F.size(vec) == dim, vec).otherwise(F.raise_error(F.lit(f"vector is not of length {dim}")))
+        vec = F.when(vec.isNull() | (F.size(vec) == dim), vec).otherwise(F.raise_error(F.lit(f"vector is not of length {dim}")))
     return vectors.withColumn("sig", simhash(vec, m, seed))
 
 

@@ -1,57 +1,16 @@
-"""The two bucket caps, and exact splitting of hot buckets when there is no cap."""
+"""Exact splitting of hot buckets."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.durable import broadcast_if_small, durable
-from bandwise.operators.banding import BUCKET
 
-TRUNCATE = "truncate"
-DROP = "drop"
-FOREVER = (1 << 63) - 1
 MANY_BLOCKS = 64
 LARGE_BLOCK = 16
 
 
-def cap_buckets(
-    bands: DataFrame, cap: int, mode: str = TRUNCATE, min_size: int = 1, by_prefix: bool = False
-) -> DataFrame:
-    """Apply a bucket cap to band rows.
-
-    ``truncate`` keeps the ``cap`` smallest ids of a bucket; ``drop`` removes buckets
-    of more than ``cap`` ids. Both rank rows with a limited window, so a map task sends
-    at most ``cap + 1`` rows per bucket however hot it is. ``min_size`` removes smaller
-    buckets afterwards.
-
-    ``by_prefix`` adds ``until``: the bucket exists for the first n rows of the table
-    only while ``n <= until``. It lets one run answer for every prefix length.
-    """
-    if mode not in (TRUNCATE, DROP):
-        raise ValueError(f"unknown cap mode {mode!r}")
-    bucket = Window.partitionBy(*BUCKET)
-    ranked = bands.withColumn("_rank", F.row_number().over(bucket.orderBy("doc_id")))
-    if mode == TRUNCATE:
-        kept = ranked.where(F.col("_rank") <= cap)
-        if by_prefix:
-            kept = kept.withColumn("until", F.lit(FOREVER).cast("long"))
-    else:
-        overflow = F.max(F.when(F.col("_rank") == cap + 1, F.col("doc_id"))).over(bucket)
-        kept = ranked.where(F.col("_rank") <= cap + 1).withColumn("_overflow", overflow)
-        if by_prefix:
-            kept = kept.where(F.col("_rank") <= cap).withColumn(
-                "until", F.coalesce("_overflow", F.lit(FOREVER).cast("long"))
-            )
-        else:
-            kept = kept.where(F.col("_overflow").isNull())
-        kept = kept.drop("_overflow")
-    if min_size > 1:
-        kept = kept.withColumn("_size", F.count(F.lit(1)).over(bucket)).where(F.col("_size") >= min_size)
-        kept = kept.drop("_size")
-    return kept.drop("_rank")
-
-
 def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[DataFrame, int, int]:
     """Keys with more than ``limit`` rows and the blocks ``g`` each needs, their count, and the largest ``g``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.durable import broadcast_if_small, durable
@@ -16,153 +16,53 @@ from bandwise.functions.bits import (
     first_shared_piece,
     generating_counts,
     hamming,
-    no_field_agrees,
     piece_array,
     shared_counts,
     xor_words,
 )
 from bandwise.functions.cosine import cosine
 from bandwise.operators.banding import BUCKET, band_keys
-from bandwise.operators.buckets import TRUNCATE, block_lists, cap_buckets, hot_keys
+from bandwise.operators.buckets import block_lists, hot_keys
 
 BLOCK_ROWS = 2048
 REFINE_BLOCKS = 16
 MEMBER_ROWS = 10_000
 PIECE_KEYS = ["piece", "piece_val"]
-SMALLER_ID = "least(one.doc_id, two.doc_id)"
-GREATER_ID = "greatest(one.doc_id, two.doc_id)"
 
 
-def bucket_lists(capped: DataFrame) -> DataFrame:
-    """Members of each capped bucket in one bounded list, buckets of one member left out."""
-    carried = [c for c in ("until",) if c in capped.columns]
-    lists = capped.groupBy(*BUCKET).agg(
-        F.collect_list(F.struct("doc_id", "sig")).alias("members"), *[F.max(c).alias(c) for c in carried]
-    )
-    return lists.where(F.size("members") >= 2)
-
-
-def pairs_within(lists: DataFrame, m: int, max_h: int | None = None) -> DataFrame:
-    """Every two members of each list with their Hamming distance, smaller id first.
-
-    The threshold is applied while pairing, so pairs above it are never shuffled. The
-    same pair appears once for each band it shares.
-    """
-    kept = [c for c in lists.columns if c != "members"]
-    pairs = (
-        lists.select(*kept, "members", F.posexplode("members").alias("at", "one"))
-        .select(*kept, "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
-        .select(*kept, F.expr(SMALLER_ID).alias("d1"), F.expr(GREATER_ID).alias("d2"), F.expr(hamming("one.sig", "two.sig", m)).alias("h"))
-        .where("d1 < d2")
-    )
-    return pairs if max_h is None else pairs.where(F.col("h") <= max_h)
-
-
-def merged_pairs(capped: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
-    """Distinct pairs of capped buckets, ``d1, d2, h, until_<b>...``.
-
-    One aggregation removes repeats over bands and brings the band counts together, so
-    a pair is scored once however many band counts found it. ``until_<b>`` is NULL
-    where band count b did not find the pair.
-    """
-    pairs = pairs_within(bucket_lists(capped), m, max_h)
-    found = [F.max(F.when(F.col("b") == b, F.col("until"))).alias(f"until_{b}") for b in bs]
-    return pairs.groupBy("d1", "d2", "h").agg(*found)
-
-
-def per_band_count(merged: DataFrame, bs: Iterable[int]) -> DataFrame:
-    """Back to one row per band count: ``b, d1, d2, h, ..., until``."""
-    bs = list(bs)
-    kept = [c for c in merged.columns if not c.startswith("until_")]
-    entries = F.array(*[F.struct(F.lit(b).alias("b"), F.col(f"until_{b}").alias("until")) for b in bs])
-    return merged.select(*kept, F.inline(entries)).where(F.col("until").isNotNull())
-
-
-def candidate_pairs(
-    signatures: DataFrame,
-    m: int,
-    bs: Iterable[int],
-    cap: int | None = None,
-    mode: str = TRUNCATE,
-    max_h: int | None = None,
-) -> DataFrame:
+def candidate_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
     """Distinct pairs sharing a band: ``b, d1, d2, h`` with ``d1 < d2``.
 
-    Without a cap the result is whole; ``cap`` and ``mode`` select one of the two bucket
-    caps. ``max_h`` keeps only pairs of at most that Hamming distance.
+    ``max_h`` keeps only pairs of at most that Hamming distance.
     """
-    bs = list(bs)
-    if cap is None:
-        return document_pairs(signatures, m, bs, max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
-    capped = cap_buckets(band_keys(signatures.select("doc_id", "sig"), m, bs), cap, mode)
-    if max_h is None and m <= WORD_BITS:
-        return once_per_pair(capped, m, bs)
-    return pairs_within(bucket_lists(capped), m, max_h).dropDuplicates(["b", "d1", "d2"]).select("b", "d1", "d2", "h")
-
+    return document_pairs(signatures, m, list(bs), max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
 
-def once_per_pair(capped: DataFrame, m: int, bs: list[int]) -> DataFrame:
-    """Distinct pairs of capped buckets without a shuffle of pairs, for one-word signatures.
-
-    A capped bucket may have lost one side of a pair, so a shared band counts only if
-    both sides survived in it. Each document carries the bits of the bands it survived
-    in, and a pair is kept in the first band that both still have and agree in.
-    """
-    fields = field_columns(m, bs)
-    own_band = F.expr("shiftleft(shiftrightunsigned(-1L, 64 - field_width), band_idx * field_width)")
-    survived = (
-        capped.withColumns(fields)
-        .groupBy("b", "doc_id")
-        .agg(F.first("sig").alias("sig"), F.bit_or(own_band).alias("alive"))
-    )
-    keyed = (
-        band_keys(survived.withColumnRenamed("b", "_b"), m, bs)
-        .where(F.col("b") == F.col("_b"))
-        .withColumns(fields)
-        .where("(alive & shiftleft(1L, band_idx * field_width)) != 0L")
-        .withColumn("earlier", F.expr("alive & ~shiftleft(-1L, band_idx * field_width)"))
-    )
-    lists = keyed.groupBy(*BUCKET).agg(F.collect_list(F.struct("doc_id", "sig", "earlier")).alias("members"))
-    masks = ["field_low", "field_high"]
-    return (
-        lists.where(F.size("members") >= 2)
-        .withColumns({name: fields[name] for name in masks})
-        .select("b", *masks, "members", F.posexplode("members").alias("at", "one"))
-        .select("b", *masks, "one", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("two"))
-        .where(no_field_agrees(xor_words("one.sig", "two.sig", m)[0], "one.earlier & two.earlier"))
-        .select(
-            "b",
-            F.expr(SMALLER_ID).alias("d1"),
-            F.expr(GREATER_ID).alias("d2"),
-            F.expr(hamming("one.sig", "two.sig", m)).alias("h"),
-        )
-        .where("d1 < d2")
-    )
 
-
-def candidate_count(
-    signatures: DataFrame, m: int, bs: Iterable[int], cap: int | None = None, mode: str = TRUNCATE
-) -> DataFrame:
+def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
     """Number of candidate pairs per band count, ``b, candidates``; zero where there is none.
 
-    Without a cap, copies are counted by group size and never paired one by one.
+    Copies are counted by group size, in whole numbers, and never paired one by one.
     """
     bs = list(bs)
-    if cap is None:
-        signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
-        groups = signature_groups(signatures)
-        n = {side: groups.select(F.col("sig").alias(side), F.col("n").cast("double").alias(f"n_{side}")) for side in ("s1", "s2")}
-        apart = signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
-        apart = apart.select(F.explode("bs").alias("b"), (F.col("n_s1") * F.col("n_s2")).alias("pairs"))
-        same = groups.where("n > 1").select(
-            F.explode(F.lit(bs)).alias("b"), (F.col("n") * (F.col("n").cast("double") - 1) / 2).alias("pairs")
-        )
-        counted = apart.unionByName(same).groupBy("b").agg(F.sum("pairs").cast("long").alias("candidates"))
-    else:
-        counted = candidate_pairs(signatures, m, bs, cap, mode).groupBy("b").agg(F.count(F.lit(1)).alias("candidates"))
+    signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
+    groups = signature_groups(signatures)
+    n = {side: groups.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}")) for side in ("s1", "s2")}
+    apart = signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
+    apart = apart.select(F.explode("bs").alias("b"), pair_count("n_s1", "n_s2").alias("pairs"))
+    same = groups.where("n > 1").select(F.explode(F.lit(bs)).alias("b"), pair_count("n").alias("pairs"))
+    counted = apart.unionByName(same).groupBy("b").agg(F.sum("pairs").cast("long").alias("candidates"))
     every = signatures.sparkSession.createDataFrame([(b,) for b in bs], "b int")
     return every.join(counted, "b", "left").select("b", F.coalesce("candidates", F.lit(0)).alias("candidates"))
 
 
+def pair_count(one: str, other: str | None = None) -> Column:
+    """Pairs between two groups of the given sizes, or inside one group, as a whole number of 38 digits."""
+    size = F.col(one).cast("decimal(19,0)")
+    if other is not None:
+        return (size * F.col(other).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return F.floor(size * (F.col(one) - 1).cast("decimal(19,0)") / 2).cast("decimal(38,0)")
+
+
 def signature_groups(signatures: DataFrame) -> DataFrame:
     """Distinct signatures with their number of documents, as a written table."""
     return durable(signatures.groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "groups")

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from bandwise.functions.simhash import hyperplanes
-from bandwise.queries import BS, CAP, COPY_OFFSET, KS, M, SMALL_KS, WIDE_BS, WIDE_M
+from bandwise.queries import BS, KS, M, SMALL_KS, WIDE_BS, WIDE_M
 
 EMBEDDING_DIM = 64
-NEAR_COPIES = f"""
-    select vec_id as doc_id, embedding::double[] as vec from embeddings
+NEAR_COPIES = """
+    select vec_id * 2 as doc_id, embedding::double[] as vec from embeddings
     union all
-    select vec_id + {COPY_OFFSET}, list_concat(embedding[1:-2]::double[], [embedding[-1]::double / 2]) from embeddings"""
+    select vec_id * 2 + 1, list_concat(embedding[1:-2]::double[], [embedding[-1]::double / 2]) from embeddings"""
 TABLE = "select vec_id as doc_id, embedding::double[] as vec from embeddings"
 SIZES = """select count(*) // 4 as n from embeddings union all select count(*) // 2 from embeddings
     union all select count(*) from embeddings"""
-MEANS = """round(coalesce(avg(cos), 0), 6) + 0.0 as mean_cosine,
+MEANS = """round(case when count(d1) = 0 then 0 else avg(cos) end, 6) + 0.0 as mean_cosine,
     round(coalesce(avg(h), 0), 6) + 0.0 as mean_hamming,
     round(coalesce(avg(cos(h * pi() / {m})), 0), 6) + 0.0 as cosine_hamming"""
 
@@ -46,23 +46,10 @@ def word(n: int) -> str:
         else {total}::bigint end"""
 
 
-def capped(mode: str | None) -> str:
-    """The bucket rows left by a cap, as relation ``kept``."""
-    if mode is None:
-        return "kept as (select * from bands)"
-    ranked = """ranked as (
-    select *, row_number() over (partition by b, band_idx, band_val order by doc_id) as rank,
-        count(*) over (partition by b, band_idx, band_val) as size
-    from bands)"""
-    test = f"rank <= {CAP}" if mode == "truncate" else f"size <= {CAP}"
-    return f"{ranked},\nkept as (select doc_id, b, band_idx, band_val from ranked where {test})"
-
-
-def pairs(mode: str | None = None) -> str:
-    return f"""{capped(mode)},
-pairs as (
+def pairs() -> str:
+    return """pairs as (
     select distinct l.b, l.doc_id as d1, r.doc_id as d2
-    from kept l join kept r on l.b = r.b and l.band_idx = r.band_idx and l.band_val = r.band_val
+    from bands l join bands r on l.b = r.b and l.band_idx = r.band_idx and l.band_val = r.band_val
         and l.doc_id < r.doc_id
 )"""
 
@@ -83,10 +70,10 @@ scored as (
 
 
 def quality(
-    ks: tuple[int, ...], mode: str | None = None, m: int = M, bs: tuple[int, ...] = BS, vectors: str = TABLE
+    ks: tuple[int, ...], m: int = M, bs: tuple[int, ...] = BS, vectors: str = TABLE
 ) -> str:
     values = ", ".join(f"({k})" for k in ks)
-    return f"""{ctes(m, bs, vectors)}, {pairs(mode)}, {scored()},
+    return f"""{ctes(m, bs, vectors)}, {pairs()}, {scored()},
 close_pairs as (select b, k, d1, d2, h, cos from scored join (values {values}) t(k) on h <= k),
 docs as (
     select b, k, count(distinct doc) as num_docs
@@ -99,18 +86,13 @@ from layout l cross join (values {values}) t(k)
 group by l.b, t.k"""
 
 
-def sweep_table(mode: str | None, m: int, bs: tuple[int, ...], ks: tuple[int, ...]) -> str:
+def sweep_table(m: int, bs: tuple[int, ...], ks: tuple[int, ...], vectors: str = TABLE) -> str:
     """One query per size would repeat the planes, so the size joins as a column instead."""
     values = ", ".join(f"({k})" for k in ks)
-    test = {None: "true", "truncate": f"rank <= {CAP}", "drop": f"size <= {CAP}"}[mode]
-    return f"""{ctes(m, bs)},
+    return f"""{ctes(m, bs, vectors)},
 sizes as ({SIZES}),
-ranked as (
-    select n, bands.*, row_number() over (partition by n, b, band_idx, band_val order by doc_id) as rank,
-        count(*) over (partition by n, b, band_idx, band_val) as size
-    from bands join sizes on doc_id < n
-),
-kept as (select * from ranked where {test}),
+places as (select doc_id, row_number() over (order by doc_id) as place from vectors),
+kept as (select n, bands.* from bands join places using (doc_id) join sizes on place <= n),
 sized as (
     select distinct l.n, l.b, l.doc_id as d1, r.doc_id as d2
     from kept l join kept r on l.n = r.n and l.b = r.b and l.band_idx = r.band_idx
@@ -126,7 +108,7 @@ docs as (
     select n, b, k, count(distinct doc) as num_docs
     from (select n, b, k, d1 as doc from close_pairs union all select n, b, k, d2 from close_pairs) group by n, b, k
 )
-select i.n::int as n, l.b, {m} as m, t.k, coalesce(any_value(num_docs), 0) as num_docs, count(d1) as num_pairs,
+select i.n::bigint as n, l.b, {m} as m, t.k, coalesce(any_value(num_docs), 0) as num_docs, count(d1) as num_pairs,
     {MEANS.format(m=m)}
 from sizes i cross join layout l cross join (values {values}) t(k)
     left join close_pairs s on s.n = i.n and s.b = l.b and s.k = t.k
@@ -135,29 +117,23 @@ group by i.n, l.b, t.k"""
 
 
 def sweep(
-    mode: str | None = None,
     ms: tuple[int, ...] = (M,),
     bs: tuple[int, ...] = BS,
     ks: tuple[int, ...] = KS,
+    vectors: str = TABLE,
 ) -> str:
-    return " union all ".join(f"select * from ({sweep_table(mode, m, bs, ks)})" for m in ms)
+    return " union all ".join(f"select * from ({sweep_table(m, bs, ks, vectors)})" for m in ms)
 
 
 def growth() -> str:
     return f"select n, b, num_pairs from ({sweep(bs=(8, 16))}) where k = {KS[len(KS) // 2]}"
 
 
-def candidate_count(mode: str | None = None, m: int = M, bs: tuple[int, ...] = BS) -> str:
-    return f"""{ctes(m, bs)}, {pairs(mode)}
+def candidate_count(m: int = M, bs: tuple[int, ...] = BS) -> str:
+    return f"""{ctes(m, bs)}, {pairs()}
 select layout.b, count(d1) as candidates from layout left join pairs using (b) group by layout.b"""
 
 
-def bucket_cap(mode: str) -> str:
-    return f"""{ctes()}, {capped(mode)},
-counted as (select *, count(*) over (partition by b, band_idx, band_val) as left_over from kept)
-select doc_id, b, band_idx, band_val from counted where left_over >= 2"""
-
-
 def similar_pairs(k: int | None, vectors: str = TABLE) -> str:
     test = "" if k is None else f" where h <= {k}"
     return f"""{ctes(vectors=vectors)}, {pairs()}, {scored()}
@@ -165,7 +141,6 @@ select b, d1, d2, h, round(cos, 6) + 0.0 as cos from scored{test}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    candidate = {mode: f"{ctes()}, {pairs(mode)} select b, d1, d2 from pairs" for mode in (None, "truncate", "drop")}
     return {
         "vector_prefix": """select vec_id as doc_id, len(embedding)::int as dim,
     list_min(embedding)::double as vec_min, list_max(embedding)::double as vec_max
@@ -179,31 +154,22 @@ select doc_id, {word(0)} as word0, {word(1)} as word1 from bits group by doc_id"
         "band_keys_wide": f"{ctes(WIDE_M, WIDE_BS)} select doc_id, b, band_idx, band_val from bands",
         "bucket_sizes": f"""{ctes()}
 select b, band_idx, band_val, count(*) as bucket_size from bands group by b, band_idx, band_val""",
-        "bucket_cap_truncate": bucket_cap("truncate"),
-        "bucket_cap_drop": bucket_cap("drop"),
-        "candidate_pairs": candidate[None],
-        "candidate_pairs_truncate": candidate["truncate"],
-        "candidate_pairs_drop": candidate["drop"],
+        "candidate_pairs": f"{ctes()}, {pairs()} select b, d1, d2 from pairs",
         "candidate_count": candidate_count(),
-        "candidate_count_truncate": candidate_count("truncate"),
-        "candidate_count_drop": candidate_count("drop"),
-        "candidate_count_wide": candidate_count(None, WIDE_M, WIDE_BS),
+        "candidate_count_wide": candidate_count(WIDE_M, WIDE_BS),
         "hamming_pairs": f"{ctes()}, {pairs()}, {scored()} select b, d1, d2, h from scored",
         "cosine_pairs": similar_pairs(None),
         "similar_pairs_k16": similar_pairs(16),
         "similar_pairs_k24": similar_pairs(24),
         "similar_docs_by_k": f"select b, k, num_docs from ({quality(KS)})",
         "quality_by_k": quality(KS),
-        "quality_by_k_truncate": quality(KS, "truncate"),
-        "quality_by_k_drop": quality(KS, "drop"),
         "quality_by_k_wide": quality((32, 40, 48), m=WIDE_M, bs=WIDE_BS),
         "quality_by_k_empty": quality((0,)),
         "near_duplicates": similar_pairs(max(SMALL_KS), NEAR_COPIES),
         "near_duplicate_quality": quality(SMALL_KS, vectors=NEAR_COPIES),
         "sweep_quality": sweep(),
-        "sweep_quality_truncate": sweep("truncate"),
-        "sweep_quality_drop": sweep("drop"),
-        "sweep_signature_bits": sweep(ms=(32, 64, 128), bs=(8,), ks=(12, 20, 44)),
+        "sweep_sparse_ids": sweep(vectors="select vec_id * 1000003 - 250000000 as doc_id, embedding::double[] as vec from embeddings"),
+        "sweep_signature_bits": sweep(ms=(32, 64, 128, 256), bs=(8,), ks=(12, 20, 44)),
         "sweep_largest_n": f"with s as ({sweep()}) select * from s where n = (select max(n) from s)",
         "sweep_representative_k": f"select * from ({sweep()}) where k = {KS[len(KS) // 2]}",
         "scaling_exponent": f"""select b, round(regr_slope(ln(num_pairs), ln(n)), 6) + 0.0 as exponent

@@ -9,11 +9,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.durable import BROADCAST_BYTES, BROADCAST_ROWS, durable
+from bandwise.durable import BROADCAST_BYTES, broadcast_if_small, durable
 from bandwise.functions.cosine import angle_cosine, dot
 from bandwise.functions.simhash import l2_norm, simhash
-from bandwise.operators.pairs import same_signature, signature_groups, signature_pairs
+from bandwise.operators.pairs import pair_count, same_signature, signature_groups, signature_pairs
 
+ANY_ID, NO_ID = (1 << 63) - 1, -(1 << 63)
 MEASURES = ["num_docs", "num_pairs", "mean_cosine", "mean_hamming", "cosine_hamming"]
 
 
@@ -29,10 +30,10 @@ def quality_by_k(
         *grid,
         F.col("d1").alias("left_key"),
         F.col("d2").alias("right_key"),
-        F.lit(1.0).alias("left_docs"),
-        F.lit(1.0).alias("right_docs"),
+        F.lit(1).cast("long").alias("left_docs"),
+        F.lit(1).cast("long").alias("right_docs"),
         "h",
-        F.lit(1.0).alias("pairs"),
+        F.lit(1).cast("decimal(38,0)").alias("pairs"),
         F.coalesce("cos", F.lit(0.0)).alias("sum_cos"),
         F.col("cos").isNotNull().cast("double").alias("n_cos"),
     )
@@ -53,16 +54,17 @@ def weighted_quality(weighted: DataFrame, ks: Iterable[int], m: int, grid: dict[
     threshold reads from them. No pass per threshold and no distinct over pairs.
     """
     group = list(grid)
-    zero, no_key = F.lit(0.0), F.lit(None).cast(weighted.schema["left_key"].dataType)
+    zero, no_docs, no_pairs = F.lit(0.0), F.lit(0).cast("long"), F.lit(0).cast("decimal(38,0)")
+    no_key = F.lit(None).cast(weighted.schema["left_key"].dataType)
 
     def part(key: Column, dist: Column, docs: Column, pairs: Column, sum_cos: Column, n_cos: Column) -> Column:
         named = {"key": key, "dist": dist, "docs": docs, "pairs": pairs, "sum_cos": sum_cos, "n_cos": n_cos}
         return F.struct(*[value.alias(name) for name, value in named.items()])
 
     ends = [
-        part(F.col(f"{side}_key"), F.lit(-1), F.col(f"{side}_docs"), zero, zero, zero) for side in ("left", "right")
+        part(F.col(f"{side}_key"), F.lit(-1), F.col(f"{side}_docs"), no_pairs, zero, zero) for side in ("left", "right")
     ]
-    distance = part(no_key, F.col("h"), zero, F.col("pairs"), F.col("sum_cos"), F.col("n_cos"))
+    distance = part(no_key, F.col("h"), no_docs, F.col("pairs"), F.col("sum_cos"), F.col("n_cos"))
     combined = (
         weighted.select(*group, "h", F.inline(F.array(*ends, distance)))
         .groupBy(*group, "key", "dist")
@@ -72,7 +74,7 @@ def weighted_quality(weighted: DataFrame, ks: Iterable[int], m: int, grid: dict[
             *[F.sum(c).alias(c) for c in ("pairs", "sum_cos", "n_cos")],
         )
     )
-    ks = list(ks)
+    ks, weight = list(ks), F.col("pairs").cast("double")
     stats = (
         combined.select("*", F.explode(F.lit(ks)).alias("k"))
         .where(F.col("h") <= F.col("k"))
@@ -81,8 +83,8 @@ def weighted_quality(weighted: DataFrame, ks: Iterable[int], m: int, grid: dict[
             F.sum("docs").alias("docs"),
             F.sum("pairs").alias("pairs"),
             F.try_divide(F.sum("sum_cos"), F.sum("n_cos")).alias("mean_cosine"),
-            F.try_divide(F.sum(F.col("pairs") * F.col("h")), F.sum("pairs")).alias("mean_hamming"),
-            F.try_divide(F.sum(F.col("pairs") * angle_cosine(F.col("h"), m)), F.sum("pairs")).alias("cosine_hamming"),
+            F.try_divide(F.sum(weight * F.col("h")), F.sum(weight)).alias("mean_hamming"),
+            F.try_divide(F.sum(weight * angle_cosine(F.col("h"), m)), F.sum(weight)).alias("cosine_hamming"),
         )
     )
     cells = grid_rows(weighted, {**grid, "k": ks})
@@ -111,20 +113,22 @@ def exact_quality(
     ks: Iterable[int],
     m: int,
     bs: Iterable[int],
-    ns: Iterable[int],
+    cutoffs: dict[int, int | None],
     seed: int = 42,
 ) -> DataFrame:
-    """Uncapped quality over the first n rows, for every n at once, without listing document pairs.
+    """Quality over the first n rows, for every n at once, without listing document pairs.
+
+    ``cutoffs`` has the greatest id of each n; None stands for the whole table.
 
     Documents with the same signature count as one group. Between two groups the number
     of pairs is the product of their sizes and the sum of cosines is the dot product of
     their summed unit vectors, so copies, even a third of the table, cost one row.
     """
-    ks, bs, ns = list(ks), list(bs), list(ns)
+    ks, bs, ns = list(ks), list(bs), list(cutoffs)
     groups = signature_groups(signatures)
     pairs = signature_pairs(groups, m, bs, max(ks)).unionByName(same_signature(groups, bs))
     pairs = durable(pairs, "signature-pairs")
-    sums = durable(unit_sums(vectors, pairs, m, ns, seed), "unit-sums")
+    sums = durable(unit_sums(vectors, pairs, m, cutoffs, seed), "unit-sums")
     rows, dim = sums.agg(F.count(F.lit(1)), F.max(F.size("total"))).first()
     if rows * 8 * (dim or 0) <= BROADCAST_BYTES:
         sums = F.broadcast(sums)
@@ -139,7 +143,7 @@ def exact_quality(
     product = dot(F.col("left_total"), F.col("right_total"))
 
     def across(one: str, other: str) -> Column:
-        return F.when(same, F.col(one) * (F.col(one) - 1) / 2).otherwise(F.col(one) * F.col(other))
+        return F.when(same, pair_count(one)).otherwise(pair_count(one, other))
 
     weighted = joined.select(
         "n",
@@ -151,36 +155,38 @@ def exact_quality(
         "h",
         across("left_docs", "right_docs").alias("pairs"),
         F.when(same, (product - F.col("left_units")) / 2).otherwise(product).alias("sum_cos"),
-        across("left_units", "right_units").alias("n_cos"),
+        across("left_units", "right_units").cast("double").alias("n_cos"),
     ).where(F.col("pairs") > 0)
     weighted = weighted.withColumn("b", F.explode("bs")).drop("bs")
     return weighted_quality(weighted, ks, m, {"n": ns, "b": bs})
 
 
-def unit_sums(vectors: DataFrame, pairs: DataFrame, m: int, ns: list[int], seed: int) -> DataFrame:
+def unit_sums(vectors: DataFrame, pairs: DataFrame, m: int, cutoffs: dict[int, int | None], seed: int) -> DataFrame:
     """Per n and paired signature: documents, documents of non-zero length, and summed unit vectors.
 
-    When the paired signatures are few they are broadcast, so only their vectors are
-    summed and shuffled. Beyond that all vectors are summed; either way partial sums are
-    formed before the shuffle, so a signature held by many sends one row per task.
+    Only vectors of paired signatures are summed and shuffled; partial sums are formed
+    before the shuffle, so a signature held by many sends one row per task.
     """
     paired = durable(
         pairs.select(F.explode(F.array("s1", "s2")).alias("sig")).distinct(), "paired-signatures"
     )
     signed = vectors.select("doc_id", "vec", simhash("vec", m, seed).alias("sig"))
-    if paired.count() <= BROADCAST_ROWS:
-        # Null-safe, as a plain test would add "sig is not null" below the projection and compute signatures twice.
-        few = F.broadcast(paired.withColumnRenamed("sig", "paired_sig"))
-        signed = signed.join(few, F.col("sig").eqNullSafe(F.col("paired_sig")), "left_semi")
+    # Null-safe, as a plain test would add "sig is not null" below the projection and compute signatures twice.
+    wanted = broadcast_if_small(paired.withColumnRenamed("sig", "paired_sig"), paired.count())
+    signed = signed.join(wanted, F.col("sig").eqNullSafe(F.col("paired_sig")), "left_semi")
     norm = l2_norm("vec")
     unit = F.transform("vec", lambda x: x.cast("double") * F.col("inverse"))
-    reached = F.filter(F.lit(sorted(ns)).cast("array<bigint>"), lambda n: n > F.col("doc_id"))
+    steps = F.array(*[
+        F.struct(F.lit(n).cast("long").alias("n"), F.lit(ANY_ID if last is None else last).cast("long").alias("last"))
+        for n, last in cutoffs.items()
+    ])
+    reached = F.transform(F.filter(steps, lambda s: F.col("doc_id") <= s["last"]), lambda s: s["n"])
     return (
         signed.withColumn("inverse", F.coalesce(F.try_divide(F.lit(1.0), norm), F.lit(0.0)))
-        .select("sig", array_to_vector(unit).alias("unit"), (F.col("inverse") > 0).cast("double").alias("is_unit"), F.explode(reached).alias("n"))
+        .select("sig", array_to_vector(unit).alias("unit"), (F.col("inverse") > 0).cast("long").alias("is_unit"), F.explode(reached).alias("n"))
         .groupBy("n", "sig")
         .agg(
-            F.count(F.lit(1)).cast("double").alias("docs"),
+            F.count(F.lit(1)).alias("docs"),
             F.sum("is_unit").alias("units"),
             Summarizer.sum(F.col("unit")).alias("total"),
         )

@@ -7,35 +7,16 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.functions.simhash import with_simhash
-from bandwise.operators.banding import band_keys
-from bandwise.operators.buckets import FOREVER, TRUNCATE, cap_buckets
-from bandwise.operators.pairs import document_pairs, merged_pairs, per_band_count, with_cosine
+from bandwise.functions.simhash import vector_length, with_simhash
+from bandwise.operators.pairs import document_pairs, with_cosine
 
 
-def similar_pairs(
-    vectors: DataFrame,
-    m: int = 64,
-    bs: Iterable[int] = (8,),
-    k: int | None = 8,
-    cap: int | None = None,
-    mode: str = TRUNCATE,
-    seed: int = 42,
-) -> DataFrame:
+def similar_pairs(vectors: DataFrame, m: int = 64, bs: Iterable[int] = (8,), k: int | None = 8, seed: int = 42, dim: int | None = None) -> DataFrame:
     """Pairs sharing a band and differing in at most ``k`` of ``m`` bits: ``b, d1, d2, h, cos``.
 
     ``k=None`` scores every candidate. Vectors are fetched only for pairs that passed.
+    ``dim`` is the length every vector must have, by default that of any one of them.
     """
-    bs = list(bs)
-    signatures = with_simhash(vectors, m, seed).select("doc_id", "sig")
-    if cap is None:
-        scored = with_cosine(document_pairs(signatures, m, bs, k), vectors)
-        return scored.select(F.explode("bs").alias("b"), "d1", "d2", "h", "cos")
-    capped = cap_buckets(band_keys(signatures, m, bs), cap, mode, by_prefix=True)
-    merged = merged_pairs(whole_table(capped, mode), m, bs, k)
-    return per_band_count(with_cosine(merged, vectors), bs).select("b", "d1", "d2", "h", "cos")
-
-
-def whole_table(capped: DataFrame, mode: str) -> DataFrame:
-    """Capped rows that hold when every row of the table is used."""
-    return capped if mode == TRUNCATE else capped.where(F.col("until") == FOREVER)
+    signatures = with_simhash(vectors, m, seed, dim or vector_length(vectors)).select("doc_id", "sig")
+    scored = with_cosine(document_pairs(signatures, m, list(bs), k), vectors)
+    return scored.select(F.explode("bs").alias("b"), "d1", "d2", "h", "cos")

@@ -11,16 +11,10 @@ from pyspark.sql import functions as F
 
 from bandwise.durable import durable, release, written_tables
 from bandwise.functions.bits import prefix_signature
-from bandwise.functions.simhash import with_simhash
-from bandwise.operators.banding import band_keys
-from bandwise.operators.buckets import TRUNCATE, cap_buckets
-from bandwise.operators.pairs import merged_pairs, per_band_count, with_cosine
-from bandwise.plans.quality import exact_quality, quality_by_k
+from bandwise.functions.simhash import vector_length, with_simhash
+from bandwise.plans.quality import NO_ID, exact_quality
 from bandwise.sources.sinks import finished_sizes, read_quality, write_quality
-from bandwise.sources.vectors import first_n
-
-PUBLISHED_CAP = 300
-
+from bandwise.sources.vectors import prefix_cutoff
 
 def sweep(
     vectors: DataFrame,
@@ -28,38 +22,29 @@ def sweep(
     ms: Iterable[int] = (64,),
     bs: Iterable[int] = (4, 8),
     ks: Iterable[int] = (0, 2, 4, 8),
-    cap: int | None = None,
-    mode: str = TRUNCATE,
     seed: int = 42,
+    dim: int | None = None,
 ) -> DataFrame:
     """Quality for every (n, m, b, k) in one plan per m: ``n, b, m, k`` and the measures.
 
-    ``n`` stands for the rows with ``doc_id < n``. The pairs of a prefix are those pairs
-    of the largest prefix whose ids both lie in it (for the drop mode: while the bucket
-    was still within the cap), so all sizes share one signature, banding and pairing run.
+    ``n`` stands for the n rows with the smallest ids, whatever the ids are; the cut-off ids are found by counting.
+    Pairs of a prefix are those pairs of the largest one whose ids both lie in it, so all sizes share one
+    signature, banding and pairing run.
     """
     ns, ms, bs, ks = sorted(set(ns)), list(ms), list(bs), list(ks)
-    vectors = first_n(vectors.select("doc_id", "vec").where(F.col("vec").isNotNull()), ns[-1])
-    signatures = with_simhash(vectors, max(ms), seed).select("doc_id", "sig")
-    if cap is None or len(ms) > 1:
-        signatures = durable(signatures, "signatures")
+    vectors = vectors.select("doc_id", "vec").where(F.col("vec").isNotNull())
+    cutoffs = {n: prefix_cutoff(vectors, n) if n > 0 else NO_ID for n in ns}
+    last = cutoffs[ns[-1]]
+    vectors = vectors if last is None else vectors.where(F.col("doc_id") <= last)
+    signatures = durable(with_simhash(vectors, max(ms), seed, dim or vector_length(vectors)).select("doc_id", "sig"), "signatures")
     tables = []
     for m in ms:
         signed = signatures if m == max(ms) else signatures.select(
             "doc_id", prefix_signature("sig", max(ms), m).alias("sig")
         )
-        if cap is None:
-            tables.append(exact_quality(vectors, signed, ks, m, bs, ns, seed))
-        else:
-            capped = cap_buckets(band_keys(signed, m, bs), cap, mode, by_prefix=True)
-            scored = with_cosine(merged_pairs(capped, m, bs, max(ks)), vectors)
-            sizes = F.explode(F.lit(ns).cast("array<bigint>")).alias("n")
-            pairs = per_band_count(scored, bs).select("*", sizes).where(
-                (F.col("d2") < F.col("n")) & (F.col("n") <= F.col("until"))
-            )
-            tables.append(quality_by_k(pairs, ks, m, bs, ns))
+        tables.append(exact_quality(vectors, signed, ks, m, bs, cutoffs, seed))
     columns = ["n", "b", "m", "k", "num_docs", "num_pairs", "mean_cosine", "mean_hamming", "cosine_hamming"]
-    return reduce(DataFrame.unionByName, tables).select(F.col("n").cast("int").alias("n"), *columns[1:])
+    return reduce(DataFrame.unionByName, tables).select(F.col("n").cast("long").alias("n"), *columns[1:])
 
 
 def run_sweep(vectors: DataFrame, ns: Iterable[int], path: str, fmt: str = "parquet", **grid) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from bandwise.durable import durable
 from bandwise.functions.simhash import with_norm, with_simhash
 from bandwise.operators.banding import BUCKET, band_keys, bucket_sizes
-from bandwise.operators.buckets import DROP, TRUNCATE, cap_buckets
 from bandwise.operators.pairs import candidate_count, candidate_pairs, with_cosine
 from bandwise.plans.quality import quality_by_k, similar_docs_by_k
 from bandwise.plans.report import growth_curves, largest_n, representative_k, scaling_exponent
@@ -22,10 +21,8 @@ M = 64
 BS = (4, 8)
 KS = (16, 20, 24)
 SMALL_KS = (0, 2, 4, 8)
-CAP = 5
 WIDE_M = 128
 WIDE_BS = (10, 16)
-COPY_OFFSET = 1_000_000
 
 
 def rounded(value: Column | str) -> Column:
@@ -42,9 +39,10 @@ def signatures(spark: SparkSession, sf_dir: str, m: int = M) -> DataFrame:
 
 
 def with_near_copies(vectors: DataFrame) -> DataFrame:
-    """The table and a copy of each vector with its last element halved."""
+    """The table, ids doubled, and a copy of each vector with its last element halved under the odd id that follows."""
     copy = F.concat(F.slice("vec", F.lit(1), F.size("vec") - 1), F.array((F.element_at("vec", -1) * 0.5).cast("float")))
-    return vectors.unionByName(vectors.select((F.col("doc_id") + COPY_OFFSET).alias("doc_id"), copy.alias("vec")))
+    doubled = vectors.withColumn("doc_id", F.col("doc_id") * 2)
+    return doubled.unionByName(doubled.select((F.col("doc_id") + 1).alias("doc_id"), copy.alias("vec")))
 
 
 def table_sizes(vectors: DataFrame) -> list[int]:
@@ -93,26 +91,12 @@ def all_bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_sizes(band_keys(signatures(spark, sf_dir).drop("doc_id"), M, BS))
 
 
-def bucket_cap(mode: str) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bands = band_keys(signatures(spark, sf_dir), M, BS).drop("sig")
-        return cap_buckets(bands, CAP, mode, min_size=2).select("doc_id", *BUCKET)
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidate_pairs(signatures(spark, sf_dir), M, BS).select("b", "d1", "d2")
 
-    return query
 
-
-def candidates(cap: int | None, mode: str = TRUNCATE) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return candidate_pairs(signatures(spark, sf_dir), M, BS, cap, mode).select("b", "d1", "d2")
-
-    return query
-
-
-def candidate_counts(cap: int | None, mode: str = TRUNCATE) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return candidate_count(signatures(spark, sf_dir), M, BS, cap, mode)
-
-    return query
+def candidate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidate_count(signatures(spark, sf_dir), M, BS)
 
 
 def candidate_count_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,10 +126,10 @@ def similar_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality(
-    ks: tuple[int, ...], cap: int | None = None, mode: str = TRUNCATE, m: int = M, bs: tuple[int, ...] = BS
+    ks: tuple[int, ...], m: int = M, bs: tuple[int, ...] = BS
 ) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pairs = similar_pairs(embeddings(spark, sf_dir), m, bs, max(ks), cap, mode)
+        pairs = similar_pairs(embeddings(spark, sf_dir), m, bs, max(ks))
         return tidy(quality_by_k(pairs, ks, m, bs))
 
     return query
@@ -157,26 +141,30 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Uncapped quality of the table with its near copies, by groups of equal signatures."""
+    """Quality of the table with its near copies, by groups of equal signatures."""
     vectors = with_near_copies(embeddings(spark, sf_dir))
-    grid = sweep(vectors, [2 * COPY_OFFSET + vectors.count()], [M], BS, SMALL_KS)
+    grid = sweep(vectors, [vectors.count()], [M], BS, SMALL_KS)
     return tidy(grid.drop("n"))
 
 
 def swept(
-    cap: int | None = None,
-    mode: str = TRUNCATE,
     ms: tuple[int, ...] = (M,),
     bs: tuple[int, ...] = BS,
     ks: tuple[int, ...] = KS,
 ) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         vectors = embeddings(spark, sf_dir)
-        return tidy(sweep(vectors, table_sizes(vectors), ms, bs, ks, cap, mode))
+        return tidy(sweep(vectors, table_sizes(vectors), ms, bs, ks))
 
     return query
 
 
+def sparse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep over ids that are no row positions, half of them negative."""
+    vectors = embeddings(spark, sf_dir).withColumn("doc_id", F.col("doc_id") * 1_000_003 - 250_000_000)
+    return tidy(sweep(vectors, table_sizes(vectors), [M], BS, KS))
+
+
 def stored(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The result as a written table, for reports that read it more than once."""
     return lambda spark, sf_dir: durable(query(spark, sf_dir), "report")
@@ -206,14 +194,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "band_keys": all_band_keys,
         "band_keys_wide": band_keys_wide,
         "bucket_sizes": all_bucket_sizes,
-        "bucket_cap_truncate": bucket_cap(TRUNCATE),
-        "bucket_cap_drop": bucket_cap(DROP),
-        "candidate_pairs": candidates(None),
-        "candidate_pairs_truncate": candidates(CAP),
-        "candidate_pairs_drop": candidates(CAP, DROP),
-        "candidate_count": candidate_counts(None),
-        "candidate_count_truncate": candidate_counts(CAP),
-        "candidate_count_drop": candidate_counts(CAP, DROP),
+        "candidate_pairs": candidates,
+        "candidate_count": candidate_counts,
         "candidate_count_wide": candidate_count_wide,
         "hamming_pairs": hamming_pairs,
         "cosine_pairs": cosine_pairs,
@@ -221,16 +203,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "similar_pairs_k24": similar_pairs_up_to(24),
         "similar_docs_by_k": similar_docs,
         "quality_by_k": quality(KS),
-        "quality_by_k_truncate": quality(KS, CAP),
-        "quality_by_k_drop": quality(KS, CAP, DROP),
         "quality_by_k_wide": quality((32, 40, 48), m=WIDE_M, bs=WIDE_BS),
         "quality_by_k_empty": quality((0,)),
         "near_duplicates": near_duplicates,
         "near_duplicate_quality": near_duplicate_quality,
         "sweep_quality": swept(),
-        "sweep_quality_truncate": swept(CAP),
-        "sweep_quality_drop": swept(CAP, DROP),
-        "sweep_signature_bits": swept(ms=(32, 64, 128), bs=(8,), ks=(12, 20, 44)),
+        "sweep_sparse_ids": sparse_ids,
+        "sweep_signature_bits": swept(ms=(32, 64, 128, 256), bs=(8,), ks=(12, 20, 44)),
         "sweep_largest_n": lambda spark, sf_dir: largest_n(stored(swept())(spark, sf_dir)),
         "sweep_representative_k": lambda spark, sf_dir: representative_k(swept()(spark, sf_dir), KS),
         "scaling_exponent": pair_growth_exponent,

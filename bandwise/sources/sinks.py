@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 QUALITY_SCHEMA = (
     "b int, m int, k int, num_docs long, time_sec double, mean_cosine double, cosine_hamming double, "
-    "num_pairs long, mean_hamming double, n int"
+    "num_pairs long, mean_hamming double, n long"
 )
 
 

@@ -2,13 +2,12 @@
 
 Prints one JSON line. The sweep input is made from the ``embeddings`` table before any
 clock starts: 128 dimensions, a shared offset, and copies with noise of varied strength,
-so that the numbers of candidate pairs are close to those of the published runs
-(17.7 and 23.6 million at n = 100,000 with the cap of 300).
+so that buckets are as crowded as in the published runs.
 
     BENCH_SF_DIR  table folder, default /root/testdata/sf0.1
     BENCH_CPUS    threads, default 8
     BENCH_NS      sweep sizes, default 1000,10000,50000,100000
-    BENCH_LARGE   one more size, truncating cap only, default 500000; 0 leaves it out
+    BENCH_LARGE   one more size, default 0 (none)
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from bandwise import queries as named
 from bandwise.functions.simhash import with_simhash
 from bandwise.operators.pairs import candidate_count
-from bandwise.plans.sweep import PUBLISHED_CAP, sweep
+from bandwise.plans.sweep import sweep
 from bandwise.session import local_session
 from bandwise.sources.fvecs import read_fvecs
 
@@ -56,7 +55,7 @@ def write_input(sf_dir: str, path: str, rows: int, dim: int = 128) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     ns = [int(n) for n in os.environ.get("BENCH_NS", "1000,10000,50000,100000").split(",")]
-    large = int(os.environ.get("BENCH_LARGE", "500000"))
+    large = int(os.environ.get("BENCH_LARGE", "0"))
     spark = local_session("bench")
     times: dict[str, float] = {}
     sizes: dict[str, dict] = {}
@@ -75,30 +74,25 @@ def main() -> None:
         def first(n):
             return read_fvecs(spark, path, rows=n, partition_bytes=8 << 20)
 
-        sweep(first(min(ns)), [min(ns)], cap=PUBLISHED_CAP).collect()  # start workers, compile
+        sweep(first(min(ns)), [min(ns)]).collect()  # start workers, compile
 
         def noop(df):
             df.write.format("noop").mode("overwrite").save()
 
         for n in ns:
             timed(f"signatures_n{n}", lambda: noop(with_simhash(first(n)).select("doc_id", "sig")))
-            for mode in ("truncate", "drop") if n == max(ns) else ("truncate",):
-                rows = timed(
-                    f"sweep_{mode}_n{n}_b4_b8", lambda: sweep(first(n), [n], cap=PUBLISHED_CAP, mode=mode).collect()
-                )
-                sizes[f"{mode}_n{n}"] = {f"b{r.b}_k{r.k}": r.num_docs for r in rows}
-            rows = timed(f"sweep_uncapped_n{n}_b4_b8", lambda: sweep(first(n), [n]).collect())
-            sizes[f"uncapped_n{n}"] = {f"b{r.b}_k{r.k}": r.num_docs for r in rows}
+            rows = timed(f"sweep_n{n}_b4_b8", lambda: sweep(first(n), [n]).collect())
+            sizes[f"n{n}"] = {f"b{r.b}_k{r.k}": r.num_docs for r in rows}
         n = max(ns)
         signatures = with_simhash(first(n)).select("doc_id", "sig")
-        rows = timed(f"candidates_n{n}_b4_b8", lambda: candidate_count(signatures, 64, [4, 8], PUBLISHED_CAP).collect())
+        rows = timed(f"candidates_n{n}_b4_b8", lambda: candidate_count(signatures, 64, [4, 8]).collect())
         sizes[f"candidates_n{n}"] = {f"b{r.b}": r.candidates for r in rows}
-        timed("sweep_truncate_all_n_b4_b8", lambda: sweep(first(n), ns, cap=PUBLISHED_CAP).collect())
+        timed("sweep_all_n_b4_b8", lambda: sweep(first(n), ns).collect())
         for name in HEADLINE:
             timed(name, lambda: noop(named.queries()[name](spark, sf_dir)))
         if large:
-            rows = timed(f"sweep_truncate_n{large}_b4_b8", lambda: sweep(first(large), [large], cap=PUBLISHED_CAP).collect())
-            sizes[f"truncate_n{large}"] = {f"b{r.b}_k{r.k}": r.num_docs for r in rows}
+            rows = timed(f"sweep_n{large}_b4_b8", lambda: sweep(first(large), [large]).collect())
+            sizes[f"n{large}"] = {f"b{r.b}_k{r.k}": r.num_docs for r in rows}
     print(
         json.dumps(
             {

@@ -21,13 +21,9 @@ def buckets(bits, b):
     return found
 
 
-def candidates(bits, b, cap=None, mode="truncate"):
+def candidates(bits, b):
     pairs = set()
     for members in buckets(bits, b).values():
-        if cap is not None and len(members) > cap:
-            if mode == "drop":
-                continue
-            members = sorted(members)[:cap]
         pairs.update(combinations(sorted(members), 2))
     return pairs
 

@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.simhash import with_simhash
 from bandwise.operators import pairs as P
-from bandwise.operators.banding import band_keys
-from bandwise.operators.buckets import cap_buckets
 from bandwise.operators.pairs import candidate_count, candidate_pairs
 from bandwise.plans.quality import quality_by_k, similar_docs_by_k
 from bandwise.plans.similar import similar_pairs
@@ -18,32 +16,27 @@ def found(df, b):
     return set(rows)
 
 
-@pytest.mark.parametrize(
-    "m,bs,cap,mode",
-    [
-        (64, [4, 8], None, "truncate"),
-        (64, [4, 8], 5, "truncate"),
-        (64, [4, 8], 5, "drop"),
-        (64, [16], 300, "drop"),
-        (100, [7, 10], None, "truncate"),
-        (128, [2, 10], 5, "truncate"),
-        (192, [2, 24], None, "truncate"),
-        (192, [2, 24], 5, "drop"),
-    ],
-)
-def test_candidates_match_brute_force(table, clustered, m, bs, cap, mode):
+@pytest.mark.parametrize("m,bs", [(64, [4, 8]), (64, [16]), (100, [7, 10]), (128, [2, 10]), (192, [2, 24])])
+def test_candidates_match_brute_force(table, clustered, m, bs):
     bits = sign_bits(clustered, m)
     signatures = with_simhash(table(clustered), m).select("doc_id", "sig")
-    every = candidate_pairs(signatures, m, bs, cap, mode)
-    near = candidate_pairs(signatures, m, bs, cap, mode, max_h=6)
-    counts = {r.b: r.candidates for r in candidate_count(signatures, m, bs, cap, mode).collect()}
+    every = candidate_pairs(signatures, m, bs)
+    near = candidate_pairs(signatures, m, bs, max_h=6)
+    counts = {r.b: r.candidates for r in candidate_count(signatures, m, bs).collect()}
     for b in bs:
-        expected = candidates(bits, b, cap, mode)
+        expected = candidates(bits, b)
         assert found(every, b) == expected
         assert counts[b] == len(expected)
         assert found(near, b) == {(i, j) for i, j in expected if (bits[i] != bits[j]).sum() <= 6}
 
 
+def test_pairs_are_counted_exactly(spark):
+    sizes = spark.createDataFrame([(2**53 + 3, 1, 134_217_731)], "a long, b long, c long")
+    row = sizes.select(P.pair_count("a", "b").alias("across"), P.pair_count("c").alias("inside")).first()
+    assert int(row.across) == 2**53 + 3
+    assert int(row.inside) == 134_217_731 * 134_217_730 // 2
+
+
 @pytest.mark.parametrize("max_h,block_rows", [(None, 20), (0, 20), (1, 20), (3, 20), (6, 20), (6, 2)])
 def test_hot_buckets_are_split_without_losing_pairs(spark, monkeypatch, max_h, block_rows):
     """A band shared by everyone, near copies inside it, and tiny limits that force every kind of split."""
@@ -83,42 +76,6 @@ def test_documents_of_a_hot_signature_are_salted(spark):
         assert got == sorted(expected)
 
 
-def test_caps_on_a_hot_bucket(spark):
-    rows = spark.createDataFrame([(i, 8, 0, 5) for i in range(20)] + [(99, 8, 0, 6)], "doc_id long, b int, band_idx int, band_val long")
-    assert sorted(r.doc_id for r in cap_buckets(rows, 5).collect()) == [0, 1, 2, 3, 4, 99]
-    assert sorted(r.doc_id for r in cap_buckets(rows, 5, min_size=2).collect()) == [0, 1, 2, 3, 4]
-    assert [r.doc_id for r in cap_buckets(rows, 5, "drop").collect()] == [99]
-    assert len(cap_buckets(rows, 20, "drop").collect()) == 21
-    until = {r.doc_id: r.until for r in cap_buckets(rows, 5, "drop", by_prefix=True).collect()}
-    assert until == {**dict.fromkeys(range(5), 5), 99: 2**63 - 1}
-    with pytest.raises(ValueError):
-        cap_buckets(rows, 5, "other")
-
-
-def test_cap_is_applied_before_the_shuffle(table, clustered):
-    bands = band_keys(with_simhash(table(clustered)).select("doc_id", "sig"), 64, [8])
-    for mode in ("truncate", "drop"):
-        plan = cap_buckets(bands, 300, mode)._jdf.queryExecution().executedPlan().toString()
-        exchange = plan.index("Exchange hashpartitioning")
-        assert "WindowGroupLimit" in plan[exchange:], "no partial limit below the exchange"
-        assert plan.count("Exchange") == 1
-
-
-def test_capped_pairs_shuffle_no_pairs(table, clustered):
-    signatures = with_simhash(table(clustered)).select("doc_id", "sig")
-    plan = candidate_pairs(signatures, 64, [8], 300)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Generate explode(slice") < plan.index("Exchange")
-    assert plan.count("ArrowEvalPython") == 1 and "CartesianProduct" not in plan
-
-
-def test_caps_are_nested(table, clustered):
-    signatures = with_simhash(table(clustered)).select("doc_id", "sig")
-    whole = found(candidate_pairs(signatures, 64, [8]), 8)
-    truncated = found(candidate_pairs(signatures, 64, [8], 5), 8)
-    dropped = found(candidate_pairs(signatures, 64, [8], 5, "drop"), 8)
-    assert dropped <= truncated <= whole
-
-
 def test_few_differing_bits_always_share_a_band(table, clustered):
     bits = sign_bits(clustered, 64)
     signatures = with_simhash(table(clustered)).select("doc_id", "sig")
@@ -129,15 +86,14 @@ def test_few_differing_bits_always_share_a_band(table, clustered):
         assert found(candidate_pairs(signatures, 64, [b], max_h=k), b) == near
 
 
-@pytest.mark.parametrize("cap,mode", [(None, "truncate"), (5, "truncate"), (5, "drop")])
-def test_similar_pairs_and_quality(table, clustered, cap, mode):
+def test_similar_pairs_and_quality(table, clustered):
     bits, ks, bs = sign_bits(clustered, 64), [0, 2, 4, 8, 20], [4, 8]
-    pairs = similar_pairs(table(clustered), 64, bs, max(ks), cap, mode)
+    pairs = similar_pairs(table(clustered), 64, bs, max(ks))
     rows = pairs.collect()
     table_rows = {(r.b, r.k): r for r in quality_by_k(pairs, ks, 64, bs).collect()}
     docs = {(r.b, r.k): r.num_docs for r in similar_docs_by_k(pairs.drop("cos"), ks, 64, bs).collect()}
     for b in bs:
-        expected = [r for r in scored(clustered, bits, candidates(bits, b, cap, mode)) if r[2] <= max(ks)]
+        expected = [r for r in scored(clustered, bits, candidates(bits, b)) if r[2] <= max(ks)]
         got = sorted((r.d1, r.d2, r.h, r.cos) for r in rows if r.b == b)
         assert [g[:3] for g in got] == [e[:3] for e in expected]
         assert np.allclose([g[3] for g in got], [e[3] for e in expected], atol=1e-6)
@@ -170,16 +126,26 @@ def test_zero_vectors_have_no_cosine(table):
     assert quality_by_k(pairs, [0], 64, [8]).first().mean_cosine is None
 
 
-@pytest.mark.parametrize("cap", [None, 300])
-def test_missing_vectors_form_no_pairs(table, cap):
+def test_missing_vectors_form_no_pairs(table):
     vectors = table([None, None, [1.0, 2.0], [1.0, 2.0]])
-    assert [(r.d1, r.d2) for r in similar_pairs(vectors, 64, [8], None, cap).collect()] == [(2, 3)]
+    assert [(r.d1, r.d2) for r in similar_pairs(vectors, 64, [8], None).collect()] == [(2, 3)]
     signatures = with_simhash(vectors).select("doc_id", "sig")
-    assert candidate_count(signatures, 64, [8], cap).first().candidates == 1
+    assert candidate_count(signatures, 64, [8]).first().candidates == 1
 
 
 @pytest.mark.parametrize("rows", [0, 1])
-@pytest.mark.parametrize("cap", [None, 300])
-def test_tiny_tables(table, rows, cap):
+def test_tiny_tables(table, rows):
     one = table([[1.0, 2.0]]).limit(rows) if rows else table([[1.0, 2.0]]).where("false")
-    assert similar_pairs(one, 64, [8], 8, cap).collect() == []
+    assert similar_pairs(one, 64, [8], 8).collect() == []
+
+
+def test_vectors_that_are_not_finite_form_no_pairs(table):
+    vectors = table([[float("nan")] * 2, [0.0, float("inf")], [0.0, 0.0], [0.0, 0.0]])
+    assert [(r.d1, r.d2) for r in similar_pairs(vectors, 64, [8], None).collect()] == [(2, 3)]
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    rows = [(i, [1.0] * (5 if i == 900 else 8)) for i in range(1000)]
+    vectors = spark.createDataFrame(rows, "doc_id long, vec array<float>").repartition(7)
+    with pytest.raises(Exception, match="length"):
+        similar_pairs(vectors, 64, [8], 0).collect()
