@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.llm.common import let
@@ -144,8 +144,6 @@ def with_next(docs: DataFrame, carried: list[str], id: str = "doc_id") -> DataFr
     at most ``MOST_RANGES``; only the first row of each range is also sent to the range before it.
     Null ids come last, equal ids in the order of the carried columns. A single row is its own next.
     """
-    from pyspark.sql import Window
-
     n = docs.count()
     ranges = max(1, min(MOST_RANGES, n // RANGE_ROWS))
     cuts = []
@@ -155,7 +153,7 @@ def with_next(docs: DataFrame, carried: list[str], id: str = "doc_id") -> DataFr
         cuts = sorted({int(c) for c in found or []}, reverse=True)
     # Range 0 has the greatest ids.
     spot = F.array_size(F.filter(constants(cuts, "bigint"), lambda c: F.col(id) <= c)) if cuts else F.lit(0)
-    spot = F.coalesce(spot, F.lit(len(cuts))).cast("int")
+    spot = F.when(F.col(id).isNull(), len(cuts)).otherwise(spot).cast("int")
     order = [F.col(id).desc_nulls_last(), *[F.col(c) for c in carried]]
     placed = docs.withColumn("range", spot)
     heads = [r for r in placed.groupBy("range").agg(F.max(id).alias("head")).collect()]
