@@ -86,3 +86,9 @@ def test_bit_range_and_hamming(spark):
 def test_other_seed_gives_other_planes(table, clustered):
     df = table(clustered)
     assert df.select(simhash("vec", 64, 1).alias("s")).collect() != df.select(simhash("vec", 64, 2).alias("s")).collect()
+
+
+def test_planes_are_the_fixed_draw():
+    # The first draws of seed 42.
+    expected = [[0.4967141530112327, -0.13826430117118466], [0.6476885381006925, 1.5230298564080254]]
+    assert np.allclose(hyperplanes(2, 2, 42), expected, rtol=0, atol=1e-15)
