@@ -55,21 +55,21 @@ def subwords(texts: list[str | None], buckets: int = BUCKETS) -> Iterator[tuple[
         owner = np.repeat(np.array(owners, np.int64), [len(p) for p in parts])
         kept = np.ones(len(codes), bool)
         kept[1:] = (codes[1:] != SPACE) | (codes[:-1] != SPACE) | (owner[1:] != owner[:-1])
-        codes, owner = codes[kept].astype(np.uint64), owner[kept]
+        codes, owner = codes[kept], owner[kept]
+        space = codes == SPACE
         found, texts_of = [], []
-        mixed = np.zeros(len(codes), np.uint64)
+        mixed = np.zeros(len(codes), np.uint32)
         for n in ORDERS:
             if len(codes) < n:
                 break
             end = len(codes) - n + 1
-            mixed = (mixed[:end] * np.uint64(0x9E3779B1) + codes[n - 1 :]) & np.uint64(0xFFFFFFFF)
-            ok = (owner[:end] == owner[n - 1 :]) & ((codes[:end] != SPACE) | (codes[n - 1 :] != SPACE))
-            if n > 2:  # no word ends inside
-                for k in range(1, n - 1):
-                    ok &= codes[k : k + end] != SPACE
+            mixed = mixed[:end] * np.uint32(0x9E3779B1) + codes[n - 1 :]  # wraps at 32 bits
+            ok = (owner[:end] == owner[n - 1 :]) & ~(space[:end] & space[n - 1 :])
+            for k in range(1, n - 1):  # no word ends inside
+                ok &= ~space[k : k + end]
             h = mixed[ok]
-            h = (h ^ (h >> np.uint64(15))) * np.uint64(0x85EBCA77) + np.uint64(n)
-            found.append(((h >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64))
+            h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) + np.uint32(n)
+            found.append(((h >> np.uint32(8)) % np.uint32(buckets)).astype(np.int64))
             texts_of.append(owner[:end][ok])
         return np.concatenate(found), np.concatenate(texts_of), len(texts)
 
@@ -104,10 +104,15 @@ class LanguageModel:
         """For each text a probability per language, and whether it has a letter."""
         total = np.zeros((len(texts), len(self.languages)))
         count = np.zeros(len(texts))
+        columns = np.ascontiguousarray(self.scores.T, np.float64)
         for buckets, owner, n in subwords(texts):
-            count += np.bincount(owner, minlength=n)
-            for k in range(len(self.languages)):
-                total[:, k] += np.bincount(owner, self.scores[buckets, k], minlength=n)
+            if not len(owner):
+                continue
+            # Owners come in runs, so sums over runs do.
+            starts = np.concatenate([[0], np.nonzero(owner[1:] != owner[:-1])[0] + 1])
+            count += np.bincount(owner[starts], np.diff(starts, append=len(owner)), minlength=n)
+            for k, scores in enumerate(columns):
+                total[:, k] += np.bincount(owner[starts], np.add.reduceat(scores[buckets], starts), minlength=n)
         logits = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         return odds / odds.sum(axis=1, keepdims=True), count > 0
