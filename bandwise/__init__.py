@@ -16,7 +16,7 @@ from bandwise.plans.quality import quality_by_k, similar_docs_by_k
 from bandwise.plans.report import growth_curves, largest_n, representative_k, scaling_exponent
 from bandwise.plans.similar import similar_pairs
 from bandwise.plans.sweep import run_sweep, sweep
-from bandwise.sources.fvecs import read_fvecs
+from bandwise.sources.fvecs import read_fvecs, write_fvecs
 from bandwise.sources.sinks import finished_sizes, read_quality, write_pairs, write_quality
 from bandwise.sources.vectors import first_n, read_vectors
 
@@ -48,6 +48,7 @@ __all__ = [
     "with_cosine",
     "with_norm",
     "with_simhash",
+    "write_fvecs",
     "write_pairs",
     "write_quality",
 ]

@@ -31,15 +31,21 @@ def durable_dir(spark: SparkSession) -> str:
     return _local_folder[0]
 
 
+def durable_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder, which ``release`` deletes."""
+    path = f"{durable_dir(spark).rstrip('/')}/bandwise-{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 
     Cuts the lineage, survives lost executors, and gives the optimiser true sizes.
     """
     spark = df.sparkSession
-    path = f"{durable_dir(spark).rstrip('/')}/bandwise-{label}-{uuid.uuid4().hex}"
+    path = durable_path(spark, label)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

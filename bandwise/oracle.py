@@ -178,4 +178,9 @@ from ({growth()}) where num_pairs > 0 group by b""",
 start as (select min(n) as n0, min(num_pairs)::double as v0 from g)
 select distinct n, round(v0 * n / n0, 6) + 0.0 as linear, round(v0 * n / n0 * n / n0, 6) + 0.0 as quadratic
 from g, start""",
+        "fvecs_round_trip": """select row_number() over (order by vec_id) - 1 as doc_id, len(embedding)::int as dim,
+    embedding[1]::double as vec_first, embedding[-1]::double as vec_last,
+    round(list_sum(embedding::double[]), 6) + 0.0 as vec_sum from embeddings""",
+        "quality_table_round_trip": sweep(),
+        "scored_pairs_round_trip": similar_pairs(16),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.durable import durable
+from bandwise.durable import durable, durable_path
 from bandwise.functions.simhash import with_norm, with_simhash
 from bandwise.operators.banding import BUCKET, band_keys, bucket_sizes
 from bandwise.operators.pairs import candidate_count, candidate_pairs, with_cosine
@@ -15,6 +15,8 @@ from bandwise.plans.quality import quality_by_k, similar_docs_by_k
 from bandwise.plans.report import growth_curves, largest_n, representative_k, scaling_exponent
 from bandwise.plans.similar import similar_pairs
 from bandwise.plans.sweep import sweep
+from bandwise.sources.fvecs import read_fvecs, write_fvecs
+from bandwise.sources.sinks import read_quality, write_pairs, write_quality
 from bandwise.sources.vectors import first_n, read_vectors
 
 M = 64
@@ -185,6 +187,27 @@ def pair_growth_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fvecs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors written as ``.fvecs`` files and read again."""
+    path = durable_path(spark, "fvecs")
+    write_fvecs(embeddings(spark, sf_dir), path)
+    ends = [F.element_at("vec", k).cast("double").alias(name) for k, name in ((1, "vec_first"), (-1, "vec_last"))]
+    total = F.aggregate("vec", F.lit(0.0), lambda done, x: done + x)
+    return read_fvecs(spark, path).select("doc_id", F.size("vec").alias("dim"), *ends, rounded(total).alias("vec_sum"))
+
+
+def quality_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's quality table, stored by size and read again."""
+    path = durable_path(spark, "quality")
+    write_quality(swept()(spark, sf_dir), path)
+    return read_quality(spark, path).drop("time_sec")
+
+
+def scored_pairs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored pairs, stored by band count and read again."""
+    return write_pairs(similar_pairs_up_to(16)(spark, sf_dir), durable_path(spark, "pairs"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "vector_prefix": vector_prefix,
@@ -214,4 +237,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sweep_representative_k": lambda spark, sf_dir: representative_k(swept()(spark, sf_dir), KS),
         "scaling_exponent": pair_growth_exponent,
         "growth_curves": pair_growth_curves,
+        "fvecs_round_trip": fvecs_round_trip,
+        "quality_table_round_trip": quality_table_round_trip,
+        "scored_pairs_round_trip": scored_pairs_round_trip,
     }

@@ -1,4 +1,4 @@
-"""Distributed reader of ``.fvecs`` files.
+"""Distributed reader and writer of ``.fvecs`` files.
 
 Each record is a little-endian int32 length d followed by d float32 values; all
 records are equally long. A file is cut into record-aligned byte ranges, one Spark
@@ -8,21 +8,26 @@ name order, so it is stable and needs no counting job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
     EqualTo,
     Filter,
     InputPartition,
     LessThan,
     LessThanOrEqual,
+    WriterCommitMessage,
 )
 
 PARTITION_BYTES = 64 * 1024 * 1024
@@ -42,8 +47,21 @@ class RecordRange(InputPartition):
 
 
 def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """Filesystem and inner path of a URI (hdfs, s3, gs, file) or a local path."""
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    """Filesystem and inner path of a URI (hdfs, s3 or s3a, gs, file) or a local path."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return fs.LocalFileSystem(), path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark reads it: without a scheme it lies in the session's default file system."""
+    if ":" in path:
+        return path
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(folder).toString()
 
 
 def list_files(path: str) -> list[tuple[str, int]]:
@@ -132,6 +150,58 @@ class PrefixFvecsReader(FvecsReader):
                 yield item
 
 
+@dataclass
+class WrittenPart(WriterCommitMessage):
+    partition: int
+    name: str
+    dim: int | None
+
+
+class FvecsWriter(DataSourceArrowWriter):
+    """One file for each task, under a hidden name until all tasks are done, so repeated attempts leave nothing behind."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenPart:
+        system, inner = open_filesystem(self.path)
+        system.create_dir(inner, recursive=True)
+        partition, dim = TaskContext.get().partitionId(), None
+        name = f"{inner}/_part-{partition:05d}-{uuid.uuid4().hex}"
+        with system.open_output_stream(name) as out:
+            for batch in iterator:
+                vec = batch.column(1)
+                lengths = set(vec.value_lengths().to_pylist()) | ({dim} - {None})
+                if not batch.num_rows:
+                    continue
+                if len(lengths) > 1 or None in lengths or 0 in lengths or vec.flatten().null_count:
+                    raise ValueError("vectors must be equally long, without nulls and not empty")
+                dim = lengths.pop()
+                rows = np.empty((batch.num_rows, dim + 1), "<i4")
+                rows[:, 0] = dim
+                rows[:, 1:] = vec.flatten().to_numpy().astype("<f4").view("<i4").reshape(-1, dim)
+                out.write(rows.tobytes())
+        return WrittenPart(partition, name, dim)
+
+    def commit(self, messages: list[WrittenPart | None]) -> None:
+        system, inner = open_filesystem(self.path)
+        parts = [part for part in messages if part is not None]
+        if len({part.dim for part in parts} - {None}) > 1:
+            self.abort(messages)
+            raise ValueError("vectors must be equally long")
+        for part in parts:
+            if part.dim is None:
+                system.delete_file(part.name)
+            else:
+                system.move(part.name, f"{inner}/part-{part.partition:05d}.fvecs")
+
+    def abort(self, messages: list[WrittenPart | None]) -> None:
+        system, _ = open_filesystem(self.path)
+        for part in messages:
+            if part is not None:
+                system.delete_file(part.name)
+
+
 class FvecsDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -144,6 +214,9 @@ class FvecsDataSource(DataSource):
         pushdown = self.options.get("pushdown", "false") == "true"
         return (PrefixFvecsReader if pushdown else FvecsReader)(self.options)
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return FvecsWriter(self.options["path"])
+
 
 def read_fvecs(
     spark: SparkSession, path: str, rows: int | None = None, partition_bytes: int = PARTITION_BYTES
@@ -158,4 +231,21 @@ def read_fvecs(
     reader = reader.option("pushdown", str(spark.conf.get(PUSHDOWN, "false")).lower())
     if rows is not None:
         reader = reader.option("rows", str(rows))
-    return reader.load(path)
+    return reader.load(qualified(spark, path))
+
+
+def write_fvecs(vectors: DataFrame, path: str) -> None:
+    """Write ``vectors`` (``doc_id, vec``) to a new folder of ``.fvecs`` files, in the order of their ids.
+
+    Ids are not stored: ``read_fvecs`` numbers the records from 0 in the same order. Vectors that are
+    null, empty, hold a null or differ in length are an error.
+    """
+    spark = vectors.sparkSession
+    path = qualified(spark, path)
+    system, inner = open_filesystem(path)
+    if system.get_file_info(inner).type != fs.FileType.NotFound and list_files(path):
+        raise FileExistsError(path)
+    spark.dataSource.register(FvecsDataSource)
+    rows = vectors.select("doc_id", F.col("vec").cast("array<float>").alias("vec"))
+    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows.write.format("fvecs").mode("append").save(path)

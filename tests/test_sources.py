@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bandwise.sources.fvecs import PUSHDOWN, read_fvecs
+from bandwise.sources.fvecs import write_fvecs as write_vectors
 from bandwise.sources.vectors import first_n, prefix_cutoff, read_vectors
 
 
@@ -89,3 +90,22 @@ def test_cutoff_over_the_whole_range_of_ids(spark):
     low, high = -(2**63), 2**63 - 1
     df = spark.createDataFrame([(low,), (0,), (high,)], "doc_id long").withColumn("vec", F.array(F.lit(1.0)))
     assert [prefix_cutoff(df, n) for n in (1, 2, 3)] == [low, 0, None]
+
+
+def test_written_vectors_are_read_in_the_order_of_their_ids(spark, tmp_path):
+    rows = [(int(i), [float(i), 0.5 * float(i)]) for i in np.random.default_rng(1).permutation(500) - 200]
+    vectors = spark.createDataFrame(rows, "doc_id long, vec array<double>").repartition(7)
+    path = f"file:{tmp_path}/out"
+    write_vectors(vectors, path)
+    got = read_fvecs(spark, path).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.vec) for r in got] == [(k, vec) for k, (_, vec) in enumerate(sorted(rows))]
+    assert sorted(p.name[:4] for p in (tmp_path / "out").iterdir() if p.suffix != ".crc")[0] == "part"
+    with pytest.raises(FileExistsError):
+        write_vectors(vectors, path)
+
+
+def test_vectors_of_different_lengths_are_not_written(spark, tmp_path):
+    for k, odd in enumerate(([1.0], None, [1.0, None], [])):
+        vectors = spark.createDataFrame([(0, [1.0, 2.0]), (1, odd)], "doc_id long, vec array<float>")
+        with pytest.raises(Exception, match="equally long"):
+            write_vectors(vectors, str(tmp_path / f"out{k}"))
