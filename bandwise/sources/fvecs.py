@@ -158,7 +158,7 @@ class WrittenPart(WriterCommitMessage):
 
 
 class FvecsWriter(DataSourceArrowWriter):
-    """One file for each task, under a hidden name until all tasks are done, so repeated attempts leave nothing behind."""
+    """One file for each task, under a hidden name until all tasks are done. A lost attempt may leave its hidden file, which is never read."""
 
     def __init__(self, path: str):
         self.path = path
