@@ -93,7 +93,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = packing.pieces(documents(spark, sf_dir), TOKENIZER, with_ids=False)
+    parts = packing.pieces(documents(spark, sf_dir), TOKENIZER, RANKS, public_tokenizers.PATTERN, with_ids=False)
     return packing.packed(durable(parts, "pieces"))
 
 

@@ -45,11 +45,22 @@ def test_columns_and_digests(docs, codec):
     assert bpe.round_trip(table.where("false"), RANKS, P.PATTERN).count() == 0
 
 
+def test_both_encoders_agree():
+    with open(JSON, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read(), bpe.read_ranks(RANKS), P.PATTERN)
+    rng = random.Random(2)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(rng.choice(every if rng.random() < 0.5 else LETTERS) for _ in range(40)) for _ in range(2000)]
+    for text in [*texts, "a" + "\n" * 300_000 + "b", "x <|endoftext|>y", "ab" * 3000, ""]:
+        assert encoder.ids(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.ids(None).tolist() == []
+
+
 def test_pieces_and_packing(docs, spark):
     rng = random.Random(3)
     texts = [*ODD, *(" ".join(rng.choice(["one", "ninety", "<|endoftext|>", "ß"]) for _ in range(rng.randrange(400))) for _ in range(150))]
     table = docs(texts)
-    parts = packing.pieces(table, JSON, 128)
+    parts = packing.pieces(table, JSON, RANKS, P.PATTERN, 128)
     encode = Tokenizer.from_file(JSON).encode
     by_doc = {}
     for r in parts.orderBy("doc_id", "piece").collect():
