@@ -75,7 +75,7 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    lost = line_dedup.dropped_lines(docs)
+    lost = line_dedup.dropped_lines(docs, all_edits=True)
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines")
     every = docs.select("doc_id", F.hash("text").alias("text_key"), lines)
     same = F.col("doc_id").eqNullSafe(F.col("doc")) & F.col("text_key").eqNullSafe(F.col("key"))

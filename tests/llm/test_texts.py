@@ -114,6 +114,42 @@ def test_lines(docs):
     assert line_dedup.dropped_lines(table.where("false")).count() == 0
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_lines_at_similarity_of_four_fifths(docs):
+    rng = random.Random(18)
+    made = [prose(rng, n).split() for n in (4, 5, 8, 9, 10, 11, 14, 15, 20, 31, 57, 120) for _ in range(2)]
+    for base in list(made):
+        for share in (0.1, 0.2, 0.2, 0.25, 0.3):
+            line = list(base)
+            for _ in range(max(1, int(share * len(line)))):
+                at = rng.randrange(len(line))
+                line[at : at + rng.randrange(2)] = rng.choice([[], [rng.choice(WORDS)], [f"new{rng.randrange(99)}"]])
+            made.append(line)
+    made = [x for x in made if x]
+    rng.shuffle(made)
+    texts = ["\n".join(map(" ".join, made[i : i + 3])) for i in range(0, len(made), 3)]
+    expected, seen, edits = {}, [], []
+    for k, line in enumerate(made):
+        allowed = [(word_distance(line, x), max(len(line), len(x)) // 5) for x in seen]
+        near = [d for d, most in allowed if d <= most]
+        if near:
+            expected.setdefault(k // 3, []).append(k % 3)
+            edits.append(min(near))
+        seen.append(line)
+    assert max(edits) >= 8
+    table = docs(texts)
+    assert {r.doc: r.lines for r in line_dedup.dropped_lines(table, all_edits=True).collect()} == expected
+    assert line_dedup.dropped_lines(docs(ODD).where("false"), all_edits=True).count() == 0
+
+
 def test_secrets(docs):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     key = "0123456789abcdef0123"
