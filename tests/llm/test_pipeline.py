@@ -1,3 +1,5 @@
+import random
+
 import __spark_entry__ as entry_points
 import corpus_pipeline
 
@@ -26,6 +28,33 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_edited_documents_go(docs, spark):
+    rng = random.Random(7)
+    texts = []
+    for n in (6, 40, 60, 90, 300, 300):
+        base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        for edits in (0, 1, 2, n // 60, n // 45, n // 20):
+            line = list(base)
+            for at in rng.sample(range(n), edits):
+                line[at] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(line))
+    texts += [None, "", " ", texts[3], "one two", "two one", "one two"]
+    rng.shuffle(texts)
+    sets = []
+    for text in texts:
+        words = (text or "").split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    near = [[a == b or bool(a | b) and 5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]
+    group = list(range(len(texts)))
+    for _ in texts:
+        group = [min(group[j] for j in range(len(texts)) if near[i][j]) for i in range(len(texts))]
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    table = docs(texts)
+    got = stage(spark, table, "")
+    assert got.columns == table.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(group)) and len(set(group)) < len(set(texts)) - 5
+
+
 def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
