@@ -134,6 +134,9 @@ def packed(
 ) -> DataFrame:
     """``parts``, the columns of ``pieces`` but the ids, with ``sequence_id`` and ``offset``.
 
+    If ``parts`` has ids and a ``row``, a number of its own for each row, the result has the ids too, and no ``row``:
+    only the other columns go through packing, and the ids are joined to their places.
+
     ``parts`` is read several times, so give a written table.
 
     Full pieces are sequences of their own and move nowhere. All others are dealt by hash to tasks of
@@ -142,7 +145,11 @@ def packed(
     partly filled, so tasks are many only where pieces are. The order is fixed by hash and key, so a repeated task
     gives the same sequences. Null ids and repeated rows are packed like any other.
     """
+    if "ids" in parts.columns and "row" in parts.columns:
+        places = packed(parts.drop("ids"), length, open_bins, ahead, task_pieces)
+        return parts.join(places.select("row", "sequence_id", "offset"), "row").drop("row")
     light = [c for c in parts.columns if c != "ids"]
+    row = ["row"] if "row" in light else []
     schema = parts.select(*light).schema.add("sequence_id", "long").add("offset", "long")
     at = light.index("length")
 
@@ -178,10 +185,11 @@ def packed(
     tasks = max(1, -(-n // task_pieces))
     deal = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(tasks))
     loose = parts.where(~full).select(deal.alias("task"), *light).repartitionByRange(tasks, "task")
-    loose = loose.sortWithinPartitions("task", F.xxhash64("doc_id", "piece", F.lit(1)), "doc_id", "piece", "start", "length")
+    loose = loose.sortWithinPartitions("task", F.xxhash64("doc_id", "piece", F.lit(1)), "doc_id", "piece", "start", "length", *row)
     small = loose.mapInArrow(pack, schema)
     # Full pieces get negative numbers, apart from those of the packed ones.
+    number = F.col("row") if row else F.monotonically_increasing_id()
     own = parts.where(full).select(
-        *light, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *light, (-1 - number).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return small.unionByName(own)

@@ -1,4 +1,9 @@
 import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -55,6 +60,27 @@ def test_edited_documents_go(docs, spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(group)) and len(set(group)) < len(set(texts)) - 5
 
 
+def test_sequences_hold_the_ids(docs, spark):
+    texts = [None, "one two", "one two", "two one", "ß " * 5000, *(f"word {i} " * i for i in range(40))]
+    ids = [None, 1, 1, 1, None, *range(10, 50)]
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encode = Tokenizer.from_str(file.read()).encode
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs(texts, ids), "").collect()
+    filled = {}
+    for r in rows:
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        assert filled.setdefault(r.sequence_id, {}).setdefault(r.offset, r.ids) is r.ids
+    for held in filled.values():
+        at = 0
+        for offset in sorted(held):
+            assert offset == at
+            at += len(held[offset])
+        assert at <= 2048
+    expected = [[*encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    assert sorted(r.ids for r in rows if r.doc_id and r.doc_id != 1) == sorted(expected[5:])
+    assert sorted(x for r in rows for x in r.ids) == sorted(x for e in expected for x in e)
+
+
 def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
