@@ -2,7 +2,8 @@
 
 Seeds are runs of eight words, those with the smallest hash among twelve in a row, so any nineteen equal words
 share one. Every occurrence of a seed is matched with the first one in the table: a row per
-occurrence, never a row per pair. Matches of two documents are chained in order through a Fenwick tree,
+occurrence, never a row per pair. What this leaves uncovered is met again by whole windows of ``MIN_WORDS`` words,
+each with its first occurrence, which then holds a passage whole (``window_matches``). Matches of two documents are chained in order through a Fenwick tree,
 and chains are aligned word by word and extended beyond their outer seeds.
 """
 
@@ -75,6 +76,68 @@ def seeds(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "key", "text").mapInArrow(found, "seed long, doc long, key int, pos int")
 
 
+def windows_of(words: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of ``MIN_WORDS`` words in a text of which all seeds are ``wanted`` hashes."""
+    if len(words) < MIN_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    places, h = seeds_of(words)
+    bad = places[~np.isin(h, wanted)]
+    starts = np.arange(len(words) - MIN_WORDS + 1)
+    inside = lambda at: np.searchsorted(at, starts + MIN_WORDS - SEED_WORDS, "right") - np.searchsorted(at, starts)
+    starts = starts[(inside(places) > 0) & (inside(bad) == 0)]
+    mixed = (words.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    factor = np.uint64(0xD6E8FEB86659FD93)
+    total = np.zeros(len(starts), np.uint64)
+    for k in range(MIN_WORDS):
+        total = total * factor + mixed[starts + k]
+        total ^= total >> np.uint64(31)
+    return starts, total
+
+
+def window_matches(keyed: DataFrame, found: DataFrame, shared: DataFrame, passages: DataFrame) -> DataFrame:
+    """Matches, as of seeds, of the windows that may stand outside all ``passages``, each with its first occurrence.
+
+    Every seed inside a window that repeats is ``shared``. Windows whose seeds all lie in passages need no other
+    source; the seeds that lie outside one somewhere tell where to look, in all documents.
+    """
+    covered = passages.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    all_shared = found.join(shared.select("seed"), "seed")
+    within = F.exists("spans", lambda s: (s["start"] <= F.col("pos")) & (F.col("pos") + SEED_WORDS <= s["end"]))
+    later = all_shared.join(shared.select("seed", "first"), "seed").where(F.struct("doc", "key") != F.struct("first.doc", "first.key"))
+    bare = later.join(covered, ["doc", "key"], "left").where(F.col("spans").isNull() | ~within)
+    bare = durable(bare.select("seed", "doc", "key", "pos"), "bare-seeds")
+    # All shared seeds of the documents that hold one of these: a window may reach into a passage.
+    holders = all_shared.join(bare.select("seed").distinct(), "seed", "left_semi").select("doc", "key").distinct()
+    asked = all_shared.join(holders, ["doc", "key"]).groupBy("doc", "key").agg(F.collect_set("seed").alias("wanted"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            each = []
+            for text, wanted in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                each.append(windows_of(word_hashes(text), np.array(wanted, np.int64).view(np.uint64)))
+            row = pa.array(np.repeat(np.arange(len(each)), [len(p) for p, _ in each]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([h for _, h in each]).view(np.int64)),
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    pa.array(np.concatenate([p for p, _ in each]).astype(np.int32)),
+                ],
+                ["window", "doc", "key", "pos"],
+            )
+
+    windows = keyed.dropDuplicates(["doc", "key"]).join(asked, ["doc", "key"]).select("doc", "key", "text", "wanted")
+    windows = durable(windows.mapInArrow(cut, "window long, doc long, key int, pos int"), "windows")
+    firsts = windows.groupBy("window").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count("*").alias("n"))
+    matches = windows.join(firsts.where("n > 1"), "window").where(F.struct("doc", "key") != F.struct("first.doc", "first.key"))
+    matches = matches.join(covered, ["doc", "key"], "left")
+    whole = F.exists("spans", lambda s: (s["start"] <= F.col("pos")) & (F.col("pos") + MIN_WORDS <= s["end"]))
+    return matches.where(F.col("spans").isNull() | ~whole).select(
+        "doc", "key", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"), "pos", F.col("first.pos").alias("src_pos")
+    )
+
+
 def segments(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
     """First and last match of each run on one diagonal, as ``x, y, matches' span``; gaps of over ``MAX_GAP`` words end a run."""
     order = np.lexsort((x, x - y))
@@ -86,7 +149,7 @@ def segments(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(x[first].tolist(), y[first].tolist(), (x[last] - x[first]).tolist()))
 
 
-def chains(x: np.ndarray, y: np.ndarray) -> list[list[tuple[int, int, int]]]:
+def chains(x: np.ndarray, y: np.ndarray, width: int = SEED_WORDS) -> list[list[tuple[int, int, int]]]:
     """Chains of segments that follow each other in both documents.
 
     The score of a chain is the words of its segments less ``GAP_COST`` for each word between them in either
@@ -119,7 +182,7 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[list[tuple[int, int, int]]]:
             best = max(best, tree[at])
             at -= at & -at
         gain = best[0] - GAP_COST * (a + b)
-        own = n + SEED_WORDS
+        own = n + width
         score[i], back[i] = (own + gain, best[1]) if gain > 0 else (float(own), -1)
     used = [False] * len(parts)
     out = []
@@ -128,7 +191,7 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[list[tuple[int, int, int]]]:
         while i >= 0 and not used[i]:
             used[i] = True
             a, b, n = parts[i]
-            if chain and max(chain[-1][0] - (a + n), chain[-1][1] - (b + n)) > MAX_GAP + SEED_WORDS:
+            if chain and max(chain[-1][0] - (a + n), chain[-1][1] - (b + n)) > MAX_GAP + width:
                 out.append(chain[::-1])
                 chain = []
             chain.append(parts[i])
@@ -138,7 +201,7 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[list[tuple[int, int, int]]]:
     return out
 
 
-def chained(matches: DataFrame) -> DataFrame:
+def chained(matches: DataFrame, width: int = SEED_WORDS) -> DataFrame:
     """``doc, key, src, src_key, parts`` of every chain; ``parts`` has x, y and span of its segments, flat."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +212,7 @@ def chained(matches: DataFrame) -> DataFrame:
 
         def flush(key: tuple, held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
             x, y = (np.concatenate(c).astype(np.int64) for c in zip(*held))
-            return [(*key, [v for part in chain for v in part]) for chain in chains(x, y)]
+            return [(*key, [v for part in chain for v in part]) for chain in chains(x, y, width)]
 
         key, held = None, []
         for batch in batches:
@@ -198,13 +261,13 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def aligned(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[int, int, int, int, int]:
+def aligned(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]], width: int = SEED_WORDS) -> tuple[int, int, int, int, int]:
     """Start and end in both and the matching words of a chain, extended at both sides. ``parts`` as places in a and b."""
     x0, y0, _ = parts[0]
     x, y, matched = x0, y0, 0
     for c, d, n in parts:
         skip = max(0, x - c, y - d)
-        c, d, n = c + skip, d + skip, n + SEED_WORDS - skip
+        c, d, n = c + skip, d + skip, n + width - skip
         if n <= 0:
             continue
         if c > x and d > y:
@@ -223,7 +286,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     earlier document, by id: places in words, end exclusive.
 
     A passage has ``MIN_WORDS`` words or more on both sides, and ``similarity``, matching words over
-    the mean length, of at least ``SIMILARITY``. Of several earlier documents, the first to hold a seed is the source.
+    the mean length, of at least ``SIMILARITY``. Of several earlier documents, the first to hold a seed, or
+    else a run of ``MIN_WORDS`` words, is the source, so every seed in an exact repeat of ``MIN_WORDS`` words lies in a passage;
+    at its ends fewer than ``SEED_WORDS + AMONG - 1`` words may not.
     Null and empty texts have no passages. Rows that repeat an id and a text are one document; other rows that share
     an id are apart. Null ids take no part.
     """
@@ -239,7 +304,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     matches = matches.select(
         "doc", "key", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"), "pos", F.col("first.pos").alias("src_pos")
     )
-    links = durable(chained(matches).withColumn("id", F.monotonically_increasing_id()), "chains")
+    passages = durable(aligned_passages(keyed, matches, SEED_WORDS), "passages")
+    again = window_matches(keyed, found, firsts, passages)
+    names = [c for c in passages.columns if c not in ("key", "doc")]
+    out = passages.unionByName(aligned_passages(keyed, again, MIN_WORDS)).select(F.col("doc").alias("doc_id"), *names)
+    return out.dropDuplicates(["doc_id", "start", "end", "source_id", "source_start", "source_end"])
+
+
+def aligned_passages(keyed: DataFrame, matches: DataFrame, width: int) -> DataFrame:
+    """``doc, key`` and the other columns of ``repeated_passages`` from matches of runs of ``width`` equal words."""
+    links = durable(chained(matches, width).withColumn("id", F.monotonically_increasing_id()), "chains")
 
     ends = F.slice("parts", -3, 3)
     sides = F.array(
@@ -265,7 +339,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                 words = word_hashes(text)
                 for w in wanted:
                     low = max(0, w["low"] - EXTEND)
-                    rows.append((w["id"], w["side"], low, words[low : w["high"] + SEED_WORDS + EXTEND].astype("<u4").tobytes()))
+                    rows.append((w["id"], w["side"], low, words[low : w["high"] + width + EXTEND].astype("<u4").tobytes()))
             columns = list(zip(*rows)) if rows else [()] * 4
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "side", "low", "words"])
@@ -277,7 +351,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("side") == s, F.struct("low", "words"))).alias(f"side{s}") for s in (0, 1)]
     )
     pairs = links.join(two, "id").select(
-        "doc", "src", "parts", *[F.col(f"side{s}.{c}").alias(f"{c}{s}") for s in (0, 1) for c in ("low", "words")]
+        "doc", "key", "src", "parts", *[F.col(f"side{s}.{c}").alias(f"{c}{s}") for s in (0, 1) for c in ("low", "words")]
     )
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,16 +361,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                 a, b = np.frombuffer(r["words0"], "<u4"), np.frombuffer(r["words1"], "<u4")
                 flat = r["parts"]
                 parts = [(flat[i] - r["low0"], flat[i + 1] - r["low1"], flat[i + 2]) for i in range(0, len(flat), 3)]
-                x0, x1, y0, y1, matched = aligned(a, b, parts)
+                x0, x1, y0, y1, matched = aligned(a, b, parts, width)
                 likeness = 2 * matched / (x1 - x0 + y1 - y0)
                 if min(x1 - x0, y1 - y0) >= MIN_WORDS and likeness >= SIMILARITY:
                     low0, low1 = r["low0"], r["low1"]
-                    rows.append((r["doc"], x0 + low0, x1 + low0, r["src"], y0 + low1, y1 + low1, matched, likeness))
-            columns = list(zip(*rows)) if rows else [()] * 8
+                    rows.append((r["doc"], r["key"], x0 + low0, x1 + low0, r["src"], y0 + low1, y1 + low1, matched, likeness))
+            columns = list(zip(*rows)) if rows else [()] * 9
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.float64() if n == "similarity" else pa.int64()) for c, n in zip(columns, names)], names
+                [pa.array(c, kinds.get(n, pa.int64())) for c, n in zip(columns, names)], names
             )
 
-    names = ["doc_id", "start", "end", "source_id", "source_start", "source_end", "matched", "similarity"]
-    schema = ", ".join(f"{n} {'double' if n == 'similarity' else 'long'}" for n in names)
-    return pairs.mapInArrow(align, schema).dropDuplicates(["doc_id", "start", "end", "source_id", "source_start", "source_end"])
+    kinds = {"similarity": pa.float64(), "key": pa.int32()}
+    names = ["doc", "key", "start", "end", "source_id", "source_start", "source_end", "matched", "similarity"]
+    kind_names = {"similarity": "double", "key": "int"}
+    schema = ", ".join(f"{n} {kind_names.get(n, 'long')}" for n in names)
+    return pairs.mapInArrow(align, schema)

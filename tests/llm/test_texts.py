@@ -251,6 +251,23 @@ def test_passages(docs):
     assert chaining.repeated_passages(docs(texts).where("false")).count() == 0
 
 
+def test_passages_whose_parts_have_other_sources(docs):
+    rng = random.Random(13)
+    x, y = ([f"p{k}x{i}" for i in range(60)] for k in range(2))
+    bits = [x[:35], x[25:], x, x, x[:20], x, y[:49], y[11:], y, y[3:], y[:55]]
+    texts = [f"{prose(rng, 40)} {' '.join(p)} {prose(rng, 40)}" for p in bits]
+    rows = chaining.repeated_passages(docs(texts)).collect()
+    whole = {i: x for i in (3, 5)} | {i: y for i in (9, 10)}
+    covered = {}
+    for r in rows:
+        here, there = texts[r.doc_id].split(), texts[r.source_id].split()
+        assert r.source_id < r.doc_id and r.end <= len(here) and r.source_end <= len(there)
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    for i in whole:
+        assert covered[i] >= set(range(40, 40 + len(bits[i]))), i
+    assert set(covered) == set(whole)
+
+
 def test_languages(docs):
     rng = random.Random(2)
     kinds = {"xx": ["kata", "riko", "mano", "teki"], "yy": ["schul", "gert", "blumf", "nacht"], "zz": ["eau", "ille", "ouvre", "queue"]}
