@@ -17,6 +17,8 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 ASSIGNED = 12
 #: A value of at least so many owners is a widely copied example.
 COPIED_OWNERS = 3
+#: So is one in at least so many repositories, whoever owns them.
+COPIED_REPOSITORIES = 20
 #: What a live credential has at least: different characters.
 LIVE_CHARACTERS = 10
 KINDS = ("assign", "access", "hex", "owned")
@@ -105,7 +107,10 @@ def ownership(found: DataFrame) -> DataFrame:
     task a row per owner. Null owners count as one owner.
     """
     values = F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["value"]))
-    rows = found.select(F.coalesce(F.col("owner").cast("string"), F.lit("")).alias("owner"), F.explode(values).alias("value"))
+    # Rows that repeat an id and a text are the same document.
+    key = [c for c in found.columns if c not in ("owner", "base", "extra")]
+    owner = F.coalesce(F.col("owner").cast("string"), F.lit("")).alias("owner")
+    rows = found.select(*key, owner, F.explode(values).alias("value")).distinct()
     by_owner = rows.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
     return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
@@ -114,7 +119,7 @@ def secret_spans(docs: DataFrame, owner: str = "source", id: str = "doc_id") ->
     """``id``, ``text_key``, ``base``, ``added``, ``n_copied`` of every document.
 
     ``base`` spans are kept whoever else has the value. A long token outside them is added if it looks
-    live and has fewer than ``COPIED_OWNERS`` owners over the whole corpus; ``n_copied`` counts the spans,
+    live and has fewer than ``COPIED_OWNERS`` owners and ``COPIED_REPOSITORIES`` repositories over the whole corpus; ``n_copied`` counts the spans,
     added or base, whose value is a widely copied example. A document stands for a repository. Null and
     empty texts have no spans; null ids and owners keep their rows; rows that repeat an id and a text
     are the same document and get equal results.
@@ -125,7 +130,7 @@ def secret_spans(docs: DataFrame, owner: str = "source", id: str = "doc_id") ->
     all_spans = F.explode(F.concat("base", "extra")).alias("span")
     spread = found.select(*key, all_spans).select(*key, "span", F.col("span.value").alias("value"))
     known = spread.join(ownership(found), "value")
-    copied = F.col("owners") >= COPIED_OWNERS
+    copied = (F.col("owners") >= COPIED_OWNERS) | (F.col("repositories") >= COPIED_REPOSITORIES)
     added = known.groupBy(*key).agg(
         F.collect_set(F.when((F.col("span.kind") == 3) & ~copied, F.col("span"))).alias("added"),
         F.size(F.collect_set(F.when(copied, F.col("span")))).alias("n_copied"),

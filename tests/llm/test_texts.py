@@ -172,6 +172,15 @@ def test_secrets(docs):
     assert secret_scan.secret_spans(table.where("false")).count() == 0
 
 
+def test_a_token_in_many_repositories_of_one_owner_is_copied(docs):
+    texts = [f"sample Zx9aB3cD5eF7gH1jK2Lm4 in {i}" for i in range(20)] + [f"mine Qx9aB3cD5eF7gH1jK2Lm4 in {i}" for i in range(19)]
+    texts += [texts[20]] * 5
+    ids = [*range(39), *[20] * 5]
+    rows = secret_scan.secret_spans(docs(texts, ids, source=["hot"] * len(texts))).collect()
+    assert len(rows) == len(texts)
+    assert all((len(r.added), r.n_copied) == ((0, 1) if r.doc_id < 20 else (1, 0)) for r in rows)
+
+
 @pytest.mark.parametrize("hot_rows", [50_000, 2])
 def test_repeated_bytes(docs, hot_rows):
     rng = random.Random(9)
