@@ -114,7 +114,8 @@ def compared(tasks: DataFrame, dim: int, centres: np.ndarray, threshold: float)
         # Pairs of home rows are met twice, once from each side; a guest is met once and counts for both.
         count_x = linked @ weight_y
         count_y = (linked & foreign[:, None]).T @ weight_x
-        one, two = np.nonzero(linked)
+        # Negative numbers have no id: their links count, but stand in no component.
+        one, two = np.nonzero(linked & (ids_x >= 0)[:, None] & (ids_y >= 0)[None, :])
         nodes, low = smallest_reachable(ids_x[one], ids_y[two]) if len(one) else (np.empty(0, np.int64),) * 2
         nodes, low = nodes[nodes != low], low[nodes != low]
         ids = np.concatenate([ids_x[count_x > 0], ids_y[count_y > 0], nodes])
@@ -188,13 +189,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, fit_rows: int
     """
     good = vectors.where(usable()).select("id", "label", "vec", F.size("vec").alias("dim"))
     members = durable(good, "vectors")
-    classes = members.groupBy("label", "dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    classes = durable(classes.where("id is not null"), "classes")
+    classes = members.groupBy("label", "dim", "vec").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
+    # A number of its own for each class, also if ids repeat; negative without an id.
+    number = F.monotonically_increasing_id()
+    classes = durable(classes.withColumn("id", F.when(F.col("least").isNull(), -1 - number).otherwise(number)), "classes")
     links, counts = [], []
     for dim in sorted(r.dim for r in classes.select("dim").distinct().collect()):
         some = classes.where(F.col("dim") == dim)
         n = some.count()
-        sample = some.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vec").toArrow().column(0).combine_chunks()
+        sample = some.orderBy(F.xxhash64("label", "vec"), "id").limit(fit_rows).select("vec").toArrow().column(0).combine_chunks()
         cells = max(1, min(MOST_CELLS, int(np.sqrt(n) / 4)))
         centres = fit_centroids(matrix(sample, dim), cells)
         placed = durable(in_cells(some, dim, centres, threshold).withColumn("label_key", F.xxhash64("label")), "cells")
@@ -207,13 +210,16 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, fit_rows: int
         links[0] = links[0].union(other)
     for other in counts[1:]:
         counts[0] = counts[0].union(other)
-    group = components(links[0]).toDF("id", "component_id")
+    group = components(links[0]).toDF("id", "component")
+    named = group.join(classes.select("id", "least"), "id")
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    group = group.join(names, "component").select("id", "component_id")
     near = counts[0].groupBy("id").agg(F.sum("weight").alias("near"))
     about = classes.join(near, "id", "left").join(group, "id", "left").select(
         F.col("label").alias("label_of"),
         F.col("vec").alias("vec_of"),
         (F.coalesce("near", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component_id", "id").alias("component_id"),
+        F.coalesce("component_id", "least").alias("component_id"),
     )
     of_members = members.join(about, (F.col("label") == F.col("label_of")) & (F.col("vec") == F.col("vec_of")), "left")
     linked = of_members.select("id", "n_links", "component_id")

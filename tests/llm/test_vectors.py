@@ -25,3 +25,10 @@ def test_links_equal_brute_force(spark, monkeypatch, block_rows):
 
 def test_no_vectors(spark):
     assert embed_dedup.near_vectors(spark.createDataFrame([], "id long, label int, vec array<float>")).count() == 0
+
+
+def test_null_and_repeated_ids_link(spark):
+    rows = [(None, 0, [1.0, 0.0]), (1, 0, [1.0, 0.1]), (2, 0, [1.0, -0.1]), (3, 0, [0.0, 1.0]), (3, 0, [0.1, 1.0]), (4, 0, [-1.0, 0.0])]
+    found = embed_dedup.near_vectors(spark.createDataFrame(rows, "id long, label int, vec array<double>")).collect()
+    got = sorted(((r.id or 0, r.n_links, r.component_id, r.kept) for r in found), key=str)
+    assert got == [(0, 2, None, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True)]
