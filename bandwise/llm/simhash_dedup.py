@@ -158,7 +158,7 @@ def fingerprint_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFr
 
 
 def with_components(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``fingerprint``, ``component`` (one number per group) and ``component_id``, the smallest
+    """``docs`` with ``fingerprint`` (of the text, whatever a column of that name holds), ``component`` (one number per group) and ``component_id``, the smallest
     ``doc_id`` of the group.
 
     Documents link at three or fewer differing bits; those without words have fingerprint zero and are
@@ -166,7 +166,7 @@ def with_components(docs: DataFrame) -> DataFrame:
     keeps its row; a group without any id has a null ``component_id``. Rows that share a ``doc_id``
     are documents of their own.
     """
-    prints = docs if "fingerprint" in docs.columns else with_fingerprint(docs)
+    prints = with_fingerprint(docs.drop("fingerprint"))
     ids = durable(prints.select("doc_id", "fingerprint"), "prints")
     classes = durable(ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     found = components(fingerprint_links(classes.select("fingerprint"))).toDF("fingerprint", "component")

@@ -60,6 +60,12 @@ def test_simhash_links_and_components(docs, spark):
     assert spark.sql("select xxhash64('a b c')").first()[0] % 2**64 == xxhash.xxh64_intdigest(b"a b c", 42)
 
 
+def test_a_column_named_fingerprint_is_not_looked_at(docs):
+    texts = ["one two three", "four five six", "one two three"]
+    table = docs(texts).withColumn("fingerprint", F.when(F.col("doc_id") < 2, 7).cast("long"))
+    assert {r.doc_id: r.component_id for r in simhash_dedup.with_components(table).collect()} == {0: 0, 1: 1, 2: 0}
+
+
 @pytest.mark.parametrize("limit", [4096, 3])
 def test_all_close_fingerprints_link(spark, limit):
     rng = np.random.default_rng(6)
