@@ -27,6 +27,7 @@ from bandwise.operators.buckets import block_lists, hot_keys
 BLOCK_ROWS = 2048
 REFINE_BLOCKS = 16
 MEMBER_ROWS = 10_000
+SUBSET_BANDS = 12
 PIECE_KEYS = ["piece", "piece_val"]
 
 
@@ -38,23 +39,82 @@ def candidate_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int
     return document_pairs(signatures, m, list(bs), max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
 
 
-def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
+def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int], subset_bands: int = SUBSET_BANDS) -> DataFrame:
     """Number of candidate pairs per band count, ``b, candidates``; zero where there is none.
 
     Copies are counted by group size, in whole numbers, and never paired one by one.
+    Band counts up to ``subset_bands`` are counted without forming a pair, by
+    inclusion-exclusion over sets of bands (:func:`agreeing_counts`): 2^b - 1 rows per
+    distinct signature. Larger band counts, where that grows faster than the pairs, list the
+    signature pairs that share a band instead.
     """
     bs = list(bs)
     signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
     groups = signature_groups(signatures)
-    n = {side: groups.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}")) for side in ("s1", "s2")}
-    apart = signature_pairs(groups, m, bs).join(n["s1"], "s1").join(n["s2"], "s2")
-    apart = apart.select(F.explode("bs").alias("b"), pair_count("n_s1", "n_s2").alias("pairs"))
-    same = groups.where("n > 1").select(F.explode(F.lit(bs)).alias("b"), pair_count("n").alias("pairs"))
-    counted = apart.unionByName(same).groupBy("b").agg(F.sum("pairs").cast("long").alias("candidates"))
+    parts = []
+    by_sets = [b for b in bs if b <= subset_bands]
+    if by_sets:
+        parts.append(agreeing_counts(groups, m, by_sets))
+    listed = [b for b in bs if b > subset_bands]
+    if listed:
+        n = {side: groups.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}")) for side in ("s1", "s2")}
+        apart = signature_pairs(groups, m, listed).join(n["s1"], "s1").join(n["s2"], "s2")
+        apart = apart.select(F.explode("bs").alias("b"), pair_count("n_s1", "n_s2").alias("pairs"))
+        same = groups.where("n > 1").select(F.explode(F.lit(listed)).alias("b"), pair_count("n").alias("pairs"))
+        parts += [apart, same]
+    counted = parts[0]
+    for part in parts[1:]:
+        counted = counted.unionByName(part)
+    counted = counted.groupBy("b").agg(F.sum("pairs").cast("long").alias("candidates"))
     every = signatures.sparkSession.createDataFrame([(b,) for b in bs], "b int")
     return every.join(counted, "b", "left").select("b", F.coalesce("candidates", F.lit(0)).alias("candidates"))
 
 
+def band_sets(m: int, bs: Iterable[int]) -> list[tuple[int, int, list[int]]]:
+    """Every non-empty set of bands of every count: ``(b, sign, masks)``.
+
+    ``masks`` holds the set's bits, one LONG per signature word; ``sign`` is +1 for sets
+    of odd size and -1 for even ones.
+    """
+    n_words = 1 if m <= WORD_BITS else -(-m // WORD_BITS)
+    found = []
+    for b in bs:
+        r = band_width(m, b)
+        for chosen in range(1, 1 << b):
+            bits = sum(((1 << r) - 1) << (i * r) for i in range(b) if chosen >> i & 1)
+            words = [(bits >> (w * WORD_BITS)) & ((1 << WORD_BITS) - 1) for w in range(n_words)]
+            words = [w - (1 << WORD_BITS) if w >= 1 << (WORD_BITS - 1) else w for w in words]
+            found.append((b, 1 if chosen.bit_count() % 2 else -1, words))
+    return found
+
+
+def agreeing_counts(groups: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
+    """Document pairs sharing at least one band, ``b, pairs``, by inclusion-exclusion.
+
+    The pairs that agree in some band are the sum, over every non-empty set S of bands, of
+    (-1)^(|S| + 1) times the pairs that agree in all bands of S. Each of those is a count:
+    documents whose signatures are equal under the mask of S form a group of c, and
+    c (c - 1) / 2 pairs. So each distinct signature gives one row per set, and one hash
+    aggregation (partial before the shuffle) counts them all; no pair is ever formed, and
+    a hot band value costs one counter, not the square of its holders. Equal signatures
+    agree everywhere, so their pairs come in through the weights ``n``.
+    """
+    sets = band_sets(m, bs)
+    if m <= WORD_BITS:
+        masks, masked = F.array(*[F.lit(masks[0]).cast("long") for _, _, masks in sets]), "sig & mask"
+    else:
+        masks = F.array(*[F.array(*[F.lit(w).cast("long") for w in masks]) for _, _, masks in sets])
+        masked = "zip_with(sig, mask, (w, k) -> w & k)"
+    rows = groups.select("sig", "n", F.posexplode(masks).alias("set_id", "mask"))
+    agreeing = rows.select("set_id", F.expr(masked).alias("key"), "n").groupBy("set_id", "key").agg(F.sum("n").alias("c"))
+    of_set = {name: F.array(*[F.lit(row[at]) for row in sets]) for at, name in ((0, "b"), (1, "sign"))}
+    terms = agreeing.where("c > 1").select(
+        F.element_at(of_set["b"], F.col("set_id") + 1).alias("b"),
+        (pair_count("c") * F.element_at(of_set["sign"], F.col("set_id") + 1)).cast("decimal(38,0)").alias("pairs"),
+    )
+    return terms.groupBy("b").agg(F.sum("pairs").cast("decimal(38,0)").alias("pairs"))
+
+
 def pair_count(one: str, other: str | None = None) -> Column:
     """Pairs between two groups of the given sizes, or inside one group, as a whole number of 38 digits."""
     size = F.col(one).cast("decimal(19,0)")

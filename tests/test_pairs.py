@@ -23,13 +23,31 @@ def test_candidates_match_brute_force(table, clustered, m, bs):
     every = candidate_pairs(signatures, m, bs)
     near = candidate_pairs(signatures, m, bs, max_h=6)
     counts = {r.b: r.candidates for r in candidate_count(signatures, m, bs).collect()}
+    listed = {r.b: r.candidates for r in candidate_count(signatures, m, bs, subset_bands=0).collect()}
     for b in bs:
         expected = candidates(bits, b)
         assert found(every, b) == expected
-        assert counts[b] == len(expected)
+        assert counts[b] == listed[b] == len(expected)
         assert found(near, b) == {(i, j) for i, j in expected if (bits[i] != bits[j]).sum() <= 6}
 
 
+def test_counts_by_band_sets_form_no_pair(table, clustered):
+    """Inclusion-exclusion: one aggregation over masked signatures, no join of signatures with each other."""
+    signatures = with_simhash(table(clustered), 64).select("doc_id", "sig")
+    groups = P.signature_groups(signatures)
+    assert "Join" not in P.agreeing_counts(groups, 64, [4, 8])._jdf.queryExecution().executedPlan().toString()
+    counted = candidate_count(signatures, 64, [4, 8])
+    bits = sign_bits(clustered, 64)
+    assert {r.b: r.candidates for r in counted.collect()} == {b: len(candidates(bits, b)) for b in (4, 8)}
+
+
+def test_band_sets_hold_every_set_once():
+    sets = P.band_sets(64, [3])
+    assert len(sets) == 7 and sum(sign for _, sign, _ in sets) == 1
+    masks = {masks[0] & (2**64 - 1) for _, _, masks in sets}
+    assert (1 << 42) - 1 in masks and len(masks) == 7
+
+
 def test_pairs_are_counted_exactly(spark):
     sizes = spark.createDataFrame([(2**53 + 3, 1, 134_217_731)], "a long, b long, c long")
     row = sizes.select(P.pair_count("a", "b").alias("across"), P.pair_count("c").alias("inside")).first()
