@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
+from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, merkle, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -97,12 +97,28 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(durable(parts, "pieces"))
 
 
+def tampered_text(docs: DataFrame) -> Column:
+    """The text with A-Z lower-cased where 3 divides the unsigned CRC-32 of the decimal ``doc_id``; else as it is."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    return F.when(chosen, F.translate("text", upper, lower)).otherwise(F.col("text"))
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = merkle.manifest(docs, tampered_text(docs))
+    steps = F.transform("proof", lambda s: F.concat(s["left"], s["right"]))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(steps, ""), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, op11_merkle, pipeline]
     return {query.__name__: query for query in named}
 
 
