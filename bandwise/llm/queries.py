@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, merkle, minhash, packing, secret_scan, simhash_dedup, suffix_dedup
+from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, merkle, minhash, packing, periodic, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -113,12 +113,30 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    edited = docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(edited)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-best["start"]).alias("start"),
+        best["length"].alias("length"),
+        (-best["period"]).alias("period"),
+        F.floor(best["length"] * 1000 / -best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit(""))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, op11_merkle, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, op11_merkle, op13_periodic, pipeline]
     return {query.__name__: query for query in named}
 
 
