@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandwise.durable import durable
-from bandwise.llm import bpe, chaining, embed_dedup, langid, line_dedup, merkle, minhash, packing, periodic, secret_scan, simhash_dedup, suffix_dedup
+from bandwise.llm import bpe, chaining, embed_dedup, html_text, langid, line_dedup, merkle, minhash, packing, periodic, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -113,6 +113,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_text.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     edited = docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
@@ -136,7 +141,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, op11_merkle, op13_periodic, pipeline]
+    named = [op1_bpe, op2_minhash, op3_embeddings, op4_passages, op5_secrets, op6_suffixes, op7_langid, op8_lines, op9_simhash, op10_packing, op11_merkle, op12_html, op13_periodic, pipeline]
     return {query.__name__: query for query in named}
 
 
