@@ -6,7 +6,7 @@ from odd import ODD
 from pyspark.sql import functions as F
 
 from bandwise.llm import merkle
-from bandwise.llm.queries import tampered_text
+from bandwise.llm.queries import op11_merkle, tampered_text
 
 
 def h(text):
@@ -94,3 +94,14 @@ def test_small_tables(spark, docs, texts):
 def test_single_document_is_its_own_root(spark, docs):
     (row,) = run(docs(["AbC"], ids=[0]))
     assert row[1] == row[2] == row[3] and row[4] == h("")
+
+
+def test_query_over_a_given_table(spark):
+    """The registered query over all documents of the smallest table, against the definition."""
+    import pyarrow.parquet as pq
+
+    sf_dir = "/root/testdata/sf0.001"
+    table = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "text", "lang", "source", "n_chars"]).to_pylist()
+    expected = brute([(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in table])
+    got = sorted((tuple(r) for r in op11_merkle(spark, sf_dir).collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert got == expected

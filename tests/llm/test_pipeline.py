@@ -83,5 +83,5 @@ def test_sequences_hold_the_ids(docs, spark):
 
 def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
