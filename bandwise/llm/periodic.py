@@ -85,23 +85,28 @@ def runs_of(ids: np.ndarray) -> np.ndarray:
         width = 1 << t
         if 2 * width > n:
             break
-        # Positions sorted by (name, position): a name's occurrences are one range, in order.
-        order = np.argsort(names, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        blocks = np.arange(0, len(names), width)
-        at, window = place[blocks], 4 * width
-        step = 1
-        active = np.ones(len(blocks), dtype=bool)
-        while active.any():
-            nxt = at + step
-            active &= nxt < len(order)
-            nxt = np.where(active, nxt, 0)
-            other = order[nxt]
-            active &= (names[other] == names[blocks]) & (other - blocks < window)
-            found_j.append(blocks[active])
-            found_d.append(other[active] - blocks[active])
-            step += 1
+        # Positions sorted by (name, position): a block's occurrences in its window are one range of that order.
+        size = len(names)
+        keys = np.sort(names * size + np.arange(size))
+        blocks = np.arange(0, size, width)
+        low = np.searchsorted(keys, names[blocks] * size + blocks, side="right")
+        high = np.searchsorted(keys, names[blocks] * size + np.minimum(blocks + 4 * width, size), side="left")
+        counts = high - low
+        total = int(counts.sum())
+        if not total:
+            continue
+        firsts = np.repeat(low - np.cumsum(counts) + counts, counts)
+        other = keys[firsts + np.arange(total)] % size
+        j = np.repeat(blocks, counts)
+        d = other - j
+        # A block whose predecessor matches at the same distance lies in the same stretch: no run is lost.
+        before = j - width
+        ok = before >= 0
+        at = np.where(ok, before, 0)
+        ok &= names[at] == names[np.minimum(at + d, size - 1)]
+        ok &= before + d < size
+        found_j.append(j[~ok])
+        found_d.append(d[~ok])
     j, d = np.concatenate(found_j), np.concatenate(found_d)
     if not len(j):
         return np.zeros((0, 3), dtype=np.int64)
