@@ -107,6 +107,8 @@ def runs_of(ids: np.ndarray) -> np.ndarray:
         ok &= before + d < size
         found_j.append(j[~ok])
         found_d.append(d[~ok])
+    if not found_j:
+        return np.zeros((0, 3), dtype=np.int64)
     j, d = np.concatenate(found_j), np.concatenate(found_d)
     if not len(j):
         return np.zeros((0, 3), dtype=np.int64)

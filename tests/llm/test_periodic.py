@@ -66,7 +66,7 @@ def sequences():
 
 
 def test_runs_match_brute_force():
-    for words in sequences():
+    for words in [*sequences(), list("abcdefghijklmnop")]:
         ids = np.unique(np.array(words, dtype=object), return_inverse=True)[1]
         assert [tuple(r) for r in periodic.runs_of(ids)] == brute_runs(words), words
 
