@@ -9,6 +9,7 @@ from bandwise.durable import broadcast_if_small, durable
 
 MANY_BLOCKS = 64
 LARGE_BLOCK = 16
+TASK_PAIRS, TASK_BYTES, MOST_TASKS = 300_000_000, 32 * 1024 * 1024, 4000
 
 
 def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[DataFrame, int, int]:
@@ -30,24 +31,32 @@ def hot_keys(rows: DataFrame, keys: list[str], limit: int, label: str) -> tuple[
     return broadcast_if_small(hot, found), found, largest or 1
 
 
-def block_lists(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Pack the signatures of each key into bounded lists: ``keys, lefts, rights``.
+def block_pairs(rows: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """The rows of each two blocks of a key: ``rows`` by ``keys, i, j`` with ``side``, 0 for block i and 1 for block j.
 
-    A key without ``g`` gives one list, to be paired with itself, and no ``rights``. A
-    key with ``g`` is cut by hash into g blocks and gives a row for each two blocks, so
-    its pairs spread over g * (g + 1) / 2 bounded groups and none is missed.
+    A key without ``g`` is one block, to be paired with itself. A key with ``g`` is cut by
+    the hash of the ``spread`` columns into g blocks, and its pairs spread over
+    g * (g + 1) / 2 bounded groups; none is missed.
     """
+    kept = [c for c in rows.columns if c != "g"]
     if "g" not in rows.columns:
-        nothing = F.lit(None).cast(rows.select(F.array("sig").alias("sig")).schema["sig"].dataType)
-        return rows.groupBy(*keys).agg(F.collect_list("sig").alias("lefts")).withColumn("rights", nothing)
+        return rows.select(*kept, *[F.lit(0).alias(c) for c in ("i", "j", "side")])
     blocks = F.coalesce("g", F.lit(1))
-    placed = (
-        rows.withColumn("own", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
+    return (
+        rows.withColumn("own", F.pmod(F.xxhash64(*spread), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(*keys, "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select(
+            *kept,
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            (F.col("own") > F.col("other")).cast("int").alias("side"),
+        )
     )
-    lists = placed.groupBy(*keys, "i", "j").agg(
-        F.collect_list(F.when(F.col("own") == F.col("i"), F.col("sig"))).alias("lefts"),
-        F.collect_list(F.when(F.col("own") != F.col("i"), F.col("sig"))).alias("rights"),
-    )
-    return lists.select(*keys, "lefts", F.when(F.col("i") != F.col("j"), F.col("rights")).alias("rights"))
+
+
+def task_count(rows: DataFrame, keys: list[str], row_bytes: int) -> int:
+    """Tasks that leave each about ``TASK_PAIRS`` comparisons and ``TASK_BYTES`` of rows."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+    total, squares = sizes.agg(F.sum("_rows"), F.sum(F.col("_rows") * F.col("_rows"))).first()
+    wanted = max((squares or 0) / 2 / TASK_PAIRS, (total or 0) * row_bytes / TASK_BYTES)
+    return int(min(max(wanted, rows.sparkSession.sparkContext.defaultParallelism), MOST_TASKS))

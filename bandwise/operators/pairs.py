@@ -2,41 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.durable import broadcast_if_small, durable
-from bandwise.functions.bits import (
-    WORD_BITS,
-    band_width,
-    field_columns,
-    first_meeting,
-    first_shared_piece,
-    generating_counts,
-    hamming,
-    piece_array,
-    shared_counts,
-    xor_words,
-)
+from bandwise.functions.bits import WORD_BITS, band_width, generating_counts, piece_array
 from bandwise.functions.cosine import cosine
 from bandwise.operators.banding import BUCKET, band_keys
-from bandwise.operators.buckets import block_lists, hot_keys
+from bandwise.operators.buckets import block_pairs, hot_keys, task_count
+from bandwise.operators.meeting import Meeting, met, met_pairs, shared_lists, tile_dots
 
-BLOCK_ROWS = 2048
-REFINE_BLOCKS = 16
+BLOCK_ROWS = 16_384
+REFINE_BLOCKS = 2
+BLOCK_BYTES = 64 * 1024 * 1024
 MEMBER_ROWS = 10_000
-SUBSET_BANDS = 12
+SUBSET_BANDS = 8
+#: Sets counted by one task of :func:`agreeing_counts`.
+TASK_SETS = 2_000_000
 PIECE_KEYS = ["piece", "piece_val"]
 
 
 def candidate_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
     """Distinct pairs sharing a band: ``b, d1, d2, h`` with ``d1 < d2``.
 
-    ``max_h`` keeps only pairs of at most that Hamming distance.
+    ``max_h`` keeps only pairs of at most that Hamming distance. With the vectors of :func:`with_own_vectors`, also ``cos``.
     """
-    return document_pairs(signatures, m, list(bs), max_h).select(F.explode("bs").alias("b"), "d1", "d2", "h")
+    pairs = document_pairs(signatures, m, list(bs), max_h)
+    return pairs.select(F.explode("bs").alias("b"), *[c for c in pairs.columns if c != "bs"])
 
 
 def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int], subset_bands: int = SUBSET_BANDS) -> DataFrame:
@@ -45,8 +41,8 @@ def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int], subset_ban
     Copies are counted by group size, in whole numbers, and never paired one by one.
     Band counts up to ``subset_bands`` are counted without forming a pair, by
     inclusion-exclusion over sets of bands (:func:`agreeing_counts`): 2^b - 1 rows per
-    distinct signature. Larger band counts, where that grows faster than the pairs, list the
-    signature pairs that share a band instead.
+    distinct signature. Larger band counts, where that grows faster than the pairs, are counted
+    by comparing signatures block by block; no pair leaves its task.
     """
     bs = list(bs)
     signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
@@ -57,9 +53,7 @@ def candidate_count(signatures: DataFrame, m: int, bs: Iterable[int], subset_ban
         parts.append(agreeing_counts(groups, m, by_sets))
     listed = [b for b in bs if b > subset_bands]
     if listed:
-        n = {side: groups.select(F.col("sig").alias(side), F.col("n").alias(f"n_{side}")) for side in ("s1", "s2")}
-        apart = signature_pairs(groups, m, listed).join(n["s1"], "s1").join(n["s2"], "s2")
-        apart = apart.select(F.explode("bs").alias("b"), pair_count("n_s1", "n_s2").alias("pairs"))
+        apart = compared_counts(groups, m, listed)
         same = groups.where("n > 1").select(F.explode(F.lit(listed)).alias("b"), pair_count("n").alias("pairs"))
         parts += [apart, same]
     counted = parts[0]
@@ -95,18 +89,20 @@ def agreeing_counts(groups: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
     (-1)^(|S| + 1) times the pairs that agree in all bands of S. Each of those is a count:
     documents whose signatures are equal under the mask of S form a group of c, and
     c (c - 1) / 2 pairs. So each distinct signature gives one row per set, and one hash
-    aggregation (partial before the shuffle) counts them all; no pair is ever formed, and
+    aggregation over tasks of about ``TASK_SETS`` rows counts them all; no pair is ever formed, and
     a hot band value costs one counter, not the square of its holders. Equal signatures
     agree everywhere, so their pairs come in through the weights ``n``.
     """
     sets = band_sets(m, bs)
+    tasks = max(groups.sparkSession.sparkContext.defaultParallelism, groups.count() * len(sets) // TASK_SETS)
     if m <= WORD_BITS:
         masks, masked = F.array(*[F.lit(masks[0]).cast("long") for _, _, masks in sets]), "sig & mask"
     else:
         masks = F.array(*[F.array(*[F.lit(w).cast("long") for w in masks]) for _, _, masks in sets])
         masked = "zip_with(sig, mask, (w, k) -> w & k)"
-    rows = groups.select("sig", "n", F.posexplode(masks).alias("set_id", "mask"))
-    agreeing = rows.select("set_id", F.expr(masked).alias("key"), "n").groupBy("set_id", "key").agg(F.sum("n").alias("c"))
+    rows = groups.repartition(tasks).select("sig", "n", F.posexplode(masks).alias("set_id", "mask"))
+    rows = rows.select("set_id", F.expr(masked).alias("key"), "n").repartition(tasks, "set_id", "key")
+    agreeing = rows.groupBy("set_id", "key").agg(F.sum("n").alias("c"))
     of_set = {name: F.array(*[F.lit(row[at]) for row in sets]) for at, name in ((0, "b"), (1, "sign"))}
     terms = agreeing.where("c > 1").select(
         F.element_at(of_set["b"], F.col("set_id") + 1).alias("b"),
@@ -140,11 +136,35 @@ def signature_pairs(
     signatures that differ in at most k bits agree in one of any k + 1 pieces of the
     bits outside the band. Both are exact.
     """
+    kind = "bigint" if m <= WORD_BITS else "array<bigint>"
+    blocks, keys, tasks, how = banded_blocks(groups.select("sig"), m, bs, max_h, ["sig"], block_rows)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, one, two, h, shared in met_pairs(batches, keys, how):
+            ends = []
+            for sigs in (left["sig"][one].view(np.int64), right["sig"][two].view(np.int64)):
+                offsets = np.arange(len(sigs) + 1, dtype=np.int32) * sigs.shape[1]
+                ends.append(pa.array(sigs[:, 0]) if m <= WORD_BITS else pa.ListArray.from_arrays(offsets, sigs.ravel()))
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(h, pa.int32()), shared_lists(shared, how.bs)], ["s1", "s2", "h", "bs"])
+
+    return met(blocks, keys, tasks, listed, f"s1 {kind}, s2 {kind}, h int, bs array<int>")
+
+
+def banded_blocks(
+    rows: DataFrame,
+    m: int,
+    bs: Iterable[int],
+    max_h: int | None,
+    spread: list[str],
+    block_rows: int = BLOCK_ROWS,
+    row_bytes: int = 64,
+) -> tuple[DataFrame, list[str], int, Meeting]:
+    """``rows`` with a ``sig``, in the blocks in which all that share a band meet, the keys of the blocks, the tasks to
+    deal them over, and how they meet. ``spread`` are the columns by which large buckets are cut."""
     bs = list(bs)
-    paired = generating_counts(m, bs)
-    rows, keys = band_keys(groups.select("sig"), m, paired), BUCKET
-    if max_h == 0:
-        return _pairs_of_lists(block_lists(rows.where(F.lit(False)), keys), m, bs, paired, max_h)
+    # Without a differing bit allowed, the whole signature is the only band.
+    paired = [1] if max_h == 0 else generating_counts(m, bs)
+    rows, keys = band_keys(rows, m, paired), BUCKET
     hot, found, largest = hot_keys(rows, keys, block_rows, "hot-buckets")
     if found:
         rows = rows.join(hot, keys, "left")
@@ -154,8 +174,24 @@ def signature_pairs(
         hot, found, _ = hot_keys(rows.where("piece >= 0"), keys, block_rows, "hot-pieces")
         rows = rows.join(hot.withColumnRenamed("g", "g_piece"), keys, "left").withColumn(
             "g", F.when(F.col("piece") >= 0, F.col("g_piece")).otherwise(F.col("g"))
-        )
-    return _pairs_of_lists(block_lists(rows, keys), m, bs, paired, max_h, pieces)
+        ).drop("g_piece")
+    blocks = block_pairs(rows, keys, spread)
+    tasks = task_count(blocks, [*keys, "i", "j"], row_bytes)
+    return blocks, keys, tasks, Meeting(m, bs, paired, max_h, pieces)
+
+
+def compared_counts(groups: DataFrame, m: int, bs: Iterable[int]) -> DataFrame:
+    """Document pairs of different signatures that share a band, ``b, pairs``: each block of a bucket gives its counts."""
+    blocks, keys, tasks, how = banded_blocks(groups.select("sig", "n"), m, bs, None, ["sig"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, one, two, _, shared in met_pairs(batches, keys, how):
+            both = left["n"][one] * right["n"][two]
+            pairs = [int(both[met_in].sum()) for met_in in shared]
+            yield pa.RecordBatch.from_arrays([pa.array(how.bs, pa.int32()), pa.array(pairs, pa.int64())], ["b", "pairs"])
+
+    found = met(blocks, keys, tasks, counted, "b int, pairs long")
+    return found.select("b", F.col("pairs").cast("decimal(38,0)").alias("pairs"))
 
 
 def _piece_width(m: int, b: int, max_h: int | None) -> int:
@@ -172,36 +208,7 @@ def _with_pieces(bands: DataFrame, pieces: dict[int, int], max_h: int) -> DataFr
         if width:
             split = piece_array("sig", band_width(WORD_BITS, b), width, max_h + 1)
             keyed = f"if(b = {b} and g > {REFINE_BLOCKS}, {split}, {keyed})"
-    return bands.select(*BUCKET, "sig", "g", F.inline(F.expr(keyed)))
-
-
-def _pairs_of_lists(
-    lists: DataFrame,
-    m: int,
-    bs: list[int],
-    paired: list[int],
-    max_h: int | None,
-    pieces: dict[int, int] | None = None,
-) -> DataFrame:
-    keys = ["b", "band_idx", *(["piece"] if "piece" in lists.columns else [])]
-    xored = xor_words("s1", "s2", m)
-    h = hamming("s1", "s2", m)
-    if m <= WORD_BITS:
-        fields = field_columns(m, paired)
-        lists, keys = lists.withColumns(fields), [*keys, *fields]
-    pairs = (
-        lists.where((F.size("lefts") >= 2) | F.col("rights").isNotNull())
-        .select(*keys, "lefts", "rights", F.posexplode("lefts").alias("at", "s1"))
-        .select(*keys, "s1", F.expr("explode(coalesce(rights, slice(lefts, at + 2, size(lefts))))").alias("s2"))
-    )
-    if max_h is not None:
-        pairs = pairs.where(f"{h} <= {max_h}")
-    pairs = pairs.where(first_meeting(xored, m, paired))
-    for b, width in (pieces or {}).items():
-        if width:
-            first = first_shared_piece(xored[0], band_width(WORD_BITS, b), width, max_h + 1)
-            pairs = pairs.where(f"b != {b} or piece < 0 or ({first})")
-    return pairs.select("s1", "s2", F.expr(h).alias("h"), shared_counts(xored, m, bs).alias("bs"))
+    return bands.select(*bands.columns, F.inline(F.expr(keyed)))
 
 
 def same_signature(groups: DataFrame, bs: Iterable[int]) -> DataFrame:
@@ -212,13 +219,56 @@ def same_signature(groups: DataFrame, bs: Iterable[int]) -> DataFrame:
     )
 
 
-def document_pairs(signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None) -> DataFrame:
-    """All document pairs sharing a band, once: ``d1, d2, h, bs``."""
-    bs = list(bs)
-    signatures = durable(signatures.select("doc_id", "sig"), "signatures").where(F.col("sig").isNotNull())
-    groups = signature_groups(signatures)
-    pairs = signature_pairs(groups, m, bs, max_h).unionByName(same_signature(groups, bs))
-    return expand_pairs(pairs, groups, signatures)
+def document_pairs(
+    signatures: DataFrame, m: int, bs: Iterable[int], max_h: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """All document pairs sharing a band, once: ``d1, d2, h, bs``, and ``cos`` if the signatures come with ``own_vec``.
+
+    Documents meet in blocks of bounded size that hold all a pair needs, so a pair leaves its
+    task finished: no pair is joined, shuffled or written. Copies meet like other documents,
+    as each of their pairs is a row of the result.
+    """
+    scored = "own_vec" in signatures.columns
+    columns = ["doc_id", "sig", *(["own_vec"] if scored else [])]
+    members = durable(signatures.select(*columns).where(F.col("sig").isNotNull()), "signatures")
+    row_bytes = 64
+    if scored:
+        dim = members.agg(F.max(F.size("own_vec"))).first()[0] or 0
+        block_rows = max(1, min(block_rows, BLOCK_BYTES // (8 * dim or 1)))
+        row_bytes += 4 * dim
+    blocks, keys, tasks, how = banded_blocks(members, m, bs, max_h, ["sig", "doc_id"], block_rows, row_bytes)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, one, two, h, shared in met_pairs(batches, keys, how):
+            d1, d2, no_1, no_2 = left["doc_id"][one], right["doc_id"][two], left["no_id"][one], right["no_id"][two]
+            # Rows of one document do not pair as copies. The id of a pair with a nameless one is the other's, twice.
+            keep = (h > 0) | ((d1 != d2) & ~no_1 & ~no_2)
+            d1, d2, nameless = np.where(no_1, d2, d1), np.where(no_2, d1, d2), no_1 & no_2
+            found = [
+                pa.array(np.minimum(d1, d2)[keep], mask=nameless[keep]),
+                pa.array(np.maximum(d1, d2)[keep], mask=nameless[keep]),
+                pa.array(h[keep], pa.int32()),
+                shared_lists([with_b[keep] for with_b in shared], how.bs),
+            ]
+            if scored:
+                found.append(_cosines(left["own_vec"], right["own_vec"], one[keep], two[keep], no_1[keep], no_2[keep]))
+            yield pa.RecordBatch.from_arrays(found, ["d1", "d2", "h", "bs", "cos"][: len(found)])
+
+    schema = "d1 long, d2 long, h int, bs array<int>" + (", cos double" if scored else "")
+    return met(blocks, keys, tasks, listed, schema)
+
+
+def _cosines(left: np.ndarray, right: np.ndarray, one: np.ndarray, two: np.ndarray, no_1: np.ndarray, no_2: np.ndarray) -> pa.Array:
+    """Cosines of pairs of rows in double precision, null with a zero vector; of a nameless row's pair, the other's with itself."""
+    if not len(one):
+        return pa.array([], pa.float64())
+    x, y = ((side.astype(np.float64) ** 2).sum(axis=1)[at] for side, at in ((left, one), (right, two)))
+    product = tile_dots(left, right, one, two)
+    x, y, product = np.where(no_1, y, x), np.where(no_2, x, y), np.where(no_1, y, np.where(no_2, x, product))
+    lengths = np.sqrt(x * y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cos = np.where(lengths > 0, product / lengths, np.nan)
+    return pa.array(cos, mask=np.isnan(cos))
 
 
 def expand_pairs(
@@ -258,12 +308,25 @@ def hot_signatures(groups: DataFrame, member_rows: int) -> tuple[DataFrame, int]
     return broadcast_if_small(hot.select("sig", F.ceil(F.col("n") / member_rows).cast("int").alias("g")), found), found
 
 
+def with_own_vectors(signatures: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``doc_id, sig, own_vec`` of rows with a signature (and ``vec``), for pairs to be scored where they meet.
+
+    A repeated id gives a row for each of its vectors, as a join of pairs with ``vectors`` would; a missing vector is NaNs.
+    """
+    signed = signatures.where(F.col("sig").isNotNull()).select("doc_id", "sig", F.size("vec").alias("dim"))
+    missing = F.array_repeat(F.lit(float("nan")).cast("float"), F.col("dim"))
+    rows = signed.join(vectors.select("doc_id", "vec"), "doc_id", "left")
+    return rows.select("doc_id", "sig", F.coalesce("vec", missing).alias("own_vec"))
+
+
 def with_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Add the exact cosine ``cos`` of both documents' vectors.
 
-    Two joins on the document id, after the Hamming filter; the optimiser picks
-    broadcast or sort-merge by size.
+    Pairs that were scored where they met (see :func:`with_own_vectors`) have it; only nameless ones go. For others, two
+    joins on the document id, after the Hamming filter; the optimiser picks broadcast or sort-merge by size.
     """
+    if "cos" in pairs.columns:
+        return pairs.where(F.col("d1").isNotNull())
     left = vectors.select(F.col("doc_id").alias("d1"), F.col("vec").alias("_v1"))
     right = vectors.select(F.col("doc_id").alias("d2"), F.col("vec").alias("_v2"))
     kept = [F.col(c) for c in pairs.columns]

@@ -36,13 +36,12 @@ def sweep(
     cutoffs = {n: prefix_cutoff(vectors, n) if n > 0 else NO_ID for n in ns}
     last = cutoffs[ns[-1]]
     vectors = vectors if last is None else vectors.where(F.col("doc_id") <= last)
-    signatures = durable(with_simhash(vectors, max(ms), seed, dim or vector_length(vectors)).select("doc_id", "sig"), "signatures")
+    signed = with_simhash(vectors, max(ms), seed, dim or vector_length(vectors))
+    signed = durable(signed.select("doc_id", "vec", "sig"), "signatures")
     tables = []
     for m in ms:
-        signed = signatures if m == max(ms) else signatures.select(
-            "doc_id", prefix_signature("sig", max(ms), m).alias("sig")
-        )
-        tables.append(exact_quality(vectors, signed, ks, m, bs, cutoffs, seed))
+        sig = F.col("sig") if m == max(ms) else prefix_signature("sig", max(ms), m).alias("sig")
+        tables.append(exact_quality(signed.select("doc_id", "vec", sig), ks, m, bs, cutoffs))
     columns = ["n", "b", "m", "k", "num_docs", "num_pairs", "mean_cosine", "mean_hamming", "cosine_hamming"]
     return reduce(DataFrame.unionByName, tables).select(F.col("n").cast("long").alias("n"), *columns[1:])
 

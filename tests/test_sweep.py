@@ -117,3 +117,10 @@ def test_tables_are_released_by_any_kind_of_path(spark, tmp_path):
         D._written.append(path)
         release([path])
     assert list(tmp_path.iterdir()) == []
+
+
+def test_a_sweep_writes_no_pairs(table, clustered):
+    before = set(written_tables())
+    assert sweep(table(clustered), [75, 150], ms=[64], bs=[8, 16], ks=[24]).count() == 4
+    labels = {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in written_tables() if path not in before}
+    assert labels <= {"bandwise-signatures", "bandwise-unit-sums", "bandwise-hot-buckets"}
