@@ -167,3 +167,29 @@ def test_vectors_of_another_length_are_an_error(spark):
     vectors = spark.createDataFrame(rows, "doc_id long, vec array<float>").repartition(7)
     with pytest.raises(Exception, match="length"):
         similar_pairs(vectors, 64, [8], 0).collect()
+
+
+def test_pairs_leave_their_blocks_finished(table, clustered):
+    """No pair is joined or shuffled: nothing but a projection stands above the comparison of blocks."""
+    for pairs in (similar_pairs(table(clustered), 64, [4, 8], 24), candidate_pairs(with_simhash(table(clustered)), 64, [4, 8])):
+        above = pairs._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+        assert "Exchange" not in above and "Join" not in above
+
+
+@pytest.mark.parametrize("m,bs", [(64, [4, 8, 16]), (128, [10, 16])])
+def test_small_blocks_lose_no_pair(table, clustered, m, bs):
+    bits, signatures = sign_bits(clustered, m), with_simhash(table(clustered), m).select("doc_id", "sig")
+    pairs = P.document_pairs(signatures, m, bs, block_rows=7).select(F.explode("bs").alias("b"), "d1", "d2")
+    for b in bs:
+        assert found(pairs, b) == candidates(bits, b)
+
+
+def test_sets_are_counted_by_bounded_tasks(table, clustered, monkeypatch):
+    monkeypatch.setattr(P, "TASK_SETS", 500)
+    groups = P.signature_groups(with_simhash(table(clustered)).select("doc_id", "sig"))
+    tasks = groups.count() * 270 // 500
+    counted = P.agreeing_counts(groups, 64, [4, 8])
+    assert "hashpartitioning(set_id#" in counted._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks}), REPARTITION_BY_NUM" in counted._jdf.queryExecution().executedPlan().toString()
+    bits = sign_bits(clustered, 64)
+    assert {r.b: int(r.pairs) for r in counted.collect()} == {b: len(candidates(bits, b)) for b in (4, 8)}
