@@ -157,16 +157,16 @@ def fingerprint_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFr
     return links.union(contract(again, ["half", "met", "quarter", "again"], RADIUS))
 
 
-def with_components(docs: DataFrame) -> DataFrame:
+def with_components(docs: DataFrame, words_per_shingle: int = SHINGLE, keep_text: bool = False) -> DataFrame:
     """``docs`` with ``fingerprint`` (of the text, whatever a column of that name holds), ``component`` (one number per group) and ``component_id``, the smallest
     ``doc_id`` of the group.
 
     Documents link at three or fewer differing bits; those without words have fingerprint zero and are
     linked like any other. Equal fingerprints are one node, so copies cost one row. A null ``doc_id``
     keeps its row; a group without any id has a null ``component_id``. Rows that share a ``doc_id``
-    are documents of their own.
+    are documents of their own. ``docs`` of no other columns lose their text unless ``keep_text``.
     """
-    prints = with_fingerprint(docs.drop("fingerprint"))
+    prints = with_fingerprint(docs.drop("fingerprint"), words_per_shingle)
     ids = durable(prints.select("doc_id", "fingerprint"), "prints")
     classes = durable(ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     found = components(fingerprint_links(classes.select("fingerprint"))).toDF("fingerprint", "component")
@@ -174,7 +174,7 @@ def with_components(docs: DataFrame) -> DataFrame:
     groups = durable(groups, "components")
     named = groups.groupBy("component").agg(F.min("first").alias("component_id"))
     named = groups.join(named, "component").select("fingerprint", "component", "component_id")
-    if set(docs.columns) <= {"doc_id", "text"}:
+    if not keep_text and set(docs.columns) <= {"doc_id", "text"}:
         return ids.join(named, "fingerprint")
     return prints.join(named, "fingerprint")
 

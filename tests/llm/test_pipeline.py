@@ -85,3 +85,16 @@ def test_every_operator_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
+
+
+def test_fingerprints_meet_in_the_near_duplicate_stage(docs, spark, monkeypatch):
+    """The stage named after SimHash takes its first groups from fingerprints, and checks them in full."""
+    from bandwise.llm import simhash_dedup
+
+    seen = []
+    met = simhash_dedup.fingerprint_links
+    monkeypatch.setattr(simhash_dedup, "fingerprint_links", lambda *a: seen.append(a) or met(*a))
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base), " ".join([*base[:399], "other"]), "one two", "two one", None, ""]
+    got = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs(texts), "")
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3, 4] and len(seen) == 1
