@@ -23,16 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from bandwise.llm.common import slices
+from bandwise.llm.common import let, slices
 
-#: Fixed values of the contract: a word, and the least length of a run.
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
+#: Fixed value of the contract: the least length of a run.
 MIN_LENGTH = 12
+#: Words in a row that recur one period later in every run: it has at least max(12, 2 q) - q equal ones, so six.
+RECURRING = 6
 
 RUN = "struct<start:bigint,length:bigint,period:bigint>"
 ADDED = {"n_words": "bigint", "runs": f"array<{RUN}>", "collapsed": "string"}
@@ -74,10 +74,22 @@ def _extension(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nda
     return done
 
 
+def _recurs(ids: np.ndarray) -> bool:
+    """Whether ``RECURRING`` words in a row may stand twice, by their hashes: never false if they do."""
+    h = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    blocks = len(ids) - RECURRING + 1
+    total = np.zeros(blocks, np.uint64)
+    for k in range(RECURRING):
+        total = total * np.uint64(0xD6E8FEB86659FD93) + h[k : k + blocks]
+    total.sort()
+    return bool((total[1:] == total[:-1]).any())
+
+
 def runs_of(ids: np.ndarray) -> np.ndarray:
     """Every run of a sequence of word ids as rows ``start, length, period``, by start, then period."""
     n = len(ids)
-    if n < MIN_LENGTH:
+    if n < MIN_LENGTH or not _recurs(ids):
         return np.zeros((0, 3), dtype=np.int64)
     forward, backward = _names(ids), _names(ids[::-1])
     found_j, found_d = [], []
@@ -129,17 +141,20 @@ def runs_of(ids: np.ndarray) -> np.ndarray:
 
 def find_runs(text: str | None) -> tuple[int, list[dict], str]:
     """Number of words, runs, and the words that no run repeats, joined by one space."""
-    words = WORD.findall(text or "")
+    words = (text or "").encode().split()  # bytes part at exactly the six white space characters
     if not words:
         return 0, [], ""
-    ids = np.unique(np.array(words, dtype=object), return_inverse=True)[1].astype(np.int64)
+    numbers: dict[bytes, int] = {}
+    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
     found = runs_of(ids)
+    if not len(found):
+        return len(words), [], b" ".join(words).decode()
     cover = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(cover, found[:, 0] + found[:, 2], 1)
     np.add.at(cover, found[:, 0] + found[:, 1], -1)
     dropped = np.cumsum(cover[:-1]) > 0
     runs = [{"start": int(s), "length": int(ln), "period": int(p)} for s, ln, p in found]
-    return len(words), runs, " ".join(w for w, gone in zip(words, dropped) if not gone)
+    return len(words), runs, b" ".join(w for w, gone in zip(words, dropped) if not gone).decode()
 
 
 def periodic_runs(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -188,11 +203,20 @@ def planted(doc_id: Column, text: Column) -> Column:
     """
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10)
+    # Each value that the words' lambda reads is bound once per row; named outside, the text would be split for every word.
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
-    moved = F.transform(
-        words, lambda w, i: F.when(i >= a, F.element_at(words, (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(w)
-    )
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(moved, " ")).otherwise(text)
+
+    def edited(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+
+        def moved(at: Column) -> Column:
+            a, p = at["a"], at["p"]
+            return F.transform(
+                words, lambda w, i: F.when(i >= a, F.element_at(words, (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(w)
+            )
+
+        return F.when(n > 0, F.array_join(let(F.struct(a.alias("a"), p.alias("p")), moved), " ")).otherwise(text)
+
+    return F.when(F.pmod(h, F.lit(10)) == 0, let(words, edited)).otherwise(text)

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -108,3 +109,26 @@ def test_query_columns(spark, tmp_path):
             assert (row.start, row.length, row.period, row.exponent_milli) == (s, ln, q, 1000 * ln // q)
         else:
             assert (row.start, row.length, row.period, row.exponent_milli) == (None,) * 4
+
+
+def test_long_texts_plant_and_scan_in_linear_time(spark, docs):
+    # Before, the planted words split the whole text once for each word: minutes for these.
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0][:12]
+    texts = [" ".join(f"w{j * 7919 % 20011}" for j in range(20_000)) for _ in ids]
+    begun = time.monotonic()
+    got = docs(texts, ids=ids).select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("t")).collect()
+    assert {r.doc_id: r.t for r in got} == {i: brute_planted(i, t) for i, t in zip(ids, texts)}
+    assert time.monotonic() - begun < 30
+
+
+def test_words_part_only_at_six_characters():
+    text = "a\x1cb\u00a0c\x85d e\tf\ng\x0bh\x0ci\rj"
+    assert periodic.find_runs(text) == (7, [], " ".join(WORD.findall(text)))
+    unit = "x\u2003y z"
+    assert periodic.find_runs(f"{unit} " * 6) == (12, [{"start": 0, "length": 12, "period": 2}], unit)
+
+
+def test_texts_without_a_recurring_block_are_not_named(monkeypatch):
+    words = [f"w{j}" for j in range(500)]
+    monkeypatch.setattr(periodic, "_names", lambda ids: pytest.fail("named"))
+    assert periodic.find_runs(" ".join(words)) == (500, [], " ".join(words))
