@@ -2,7 +2,9 @@
 
 Of every 200-byte window, the places with the smallest hash of 64 bytes are anchors. Equal windows have equal
 anchors at equal offsets, so only suffixes that start at anchors need sorting: about one byte in 70.
-Of these, only those whose first 64 bytes occur again. Spark samples splitters and
+Of these, only those whose first 64 bytes occur again. Anchors whose whole surroundings, all that a window around
+them can hold, occur again (by their digest) are decided by that: all their windows repeat, and one of them stands for all. Only
+the others, and one of each such class, go on with their bytes (``decided``). Spark samples splitters and
 range-partitions the suffixes by their leading bytes; a bucket sorts its suffixes, and the reversed texts
 before them, by multikey quicksort over 8-byte characters. Classes of suffixes that agree in r bytes and of
 reversed prefixes that agree in 200 - r bytes then tell which windows occur again. Splitters never part equal leading bytes,
@@ -12,6 +14,9 @@ so nothing that matches lies across a boundary.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -62,20 +67,28 @@ def anchor_places(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return places, h[places]
 
 
+def around(text: bytes, pos: int) -> int:
+    """Digest of the bytes around an anchor that windows with it can hold, and of how many of them precede it."""
+    before = min(pos, REACH)
+    return int.from_bytes(blake2b(text[pos - before : pos + WINDOW], digest_size=8, salt=bytes([before])).digest(), "little", signed=True)
+
+
 def anchors(docs: DataFrame) -> DataFrame:
-    """``k1, k2, pos, anchor`` of every anchor of ``docs`` (``k1, k2, text``)."""
+    """``k1, k2, pos, anchor, around, after`` of every anchor of ``docs`` (``k1, k2, text``): its digest ``around`` and
+    how many bytes of a window the text has from it on."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(k1, k2, texts) -> pa.RecordBatch:
             starts = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
             places, h = anchor_places(np.frombuffer(b"".join(texts), np.uint8), starts)
             row = np.searchsorted(starts, places, side="right") - 1
-            return batch_of(k1[row], k2[row], places - starts[row], h)
+            return batch_of(k1[row], k2[row], places - starts[row], h, [texts[i] for i in row])
 
-        def batch_of(k1, k2, pos, h) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(k1), pa.array(k2), pa.array(pos.astype(np.int64)), pa.array(h.view(np.int64))], ["k1", "k2", "pos", "anchor"]
-            )
+        def batch_of(k1, k2, pos, h, texts) -> pa.RecordBatch:
+            digests = np.fromiter(map(around, texts, pos.tolist()), np.int64, len(pos))
+            after = np.minimum(np.fromiter(map(len, texts), np.int64, len(pos)) - pos, WINDOW)
+            columns = [k1, k2, pos.astype(np.int64), h.view(np.int64), digests, after.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "pos", "anchor", "around", "after"])
 
         for batch in slices(batches, 256):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -92,37 +105,89 @@ def anchors(docs: DataFrame) -> DataFrame:
                         places, h = places[new], h[new]
                         if len(places):
                             last = places[-1]
-                            yield batch_of(np.full(len(places), k1[i]), np.full(len(places), k2[i]), places, h)
+                            yield batch_of(np.full(len(places), k1[i]), np.full(len(places), k2[i]), places, h, [text] * len(places))
                     texts[i] = b""
                 size += len(texts[i])
                 if size >= CHUNK_BYTES or i == len(texts) - 1:
                     yield emit(k1[first : i + 1], k2[first : i + 1], texts[first : i + 1])
                     first, size = i + 1, 0
 
-    return docs.select(*KEY, "text").mapInArrow(found, "k1 long, k2 int, pos long, anchor long")
+    return docs.select(*KEY, "text").mapInArrow(found, "k1 long, k2 int, pos long, anchor long, around long, after int")
+
+
+DECIDED = "k1 long, k2 int, pos long, anchor long, told boolean, start long, end long"
+
+
+def decided(found: DataFrame) -> DataFrame:
+    """Of all ``anchors`` those that occur again: ``start, end`` of the repeated bytes around each one whose digest occurs again;
+    and ``pos, anchor`` of each whose bytes are needed, which are, of anchors with several digests, one of each digest.
+    ``told`` marks those of them that have their ``start, end`` already and are there for the others."""
+    names = [f.split()[0] for f in DECIDED.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def runs(r: tuple) -> Iterator[tuple]:
+            _, _, k1, k2, pos, after = r
+            before = min(pos, REACH)
+            if before + after >= WINDOW:
+                yield k1, k2, None, None, None, pos - before, pos + after
+
+        def asked(r: tuple, told: bool) -> tuple:
+            return r[2], r[3], r[4], r[0], told, None, None
+
+        def told() -> Iterator[tuple]:
+            rows = (r for batch in batches for part in slices([batch], 4096) for r in zip(*(c.to_pylist() for c in part.columns)))
+            for _, same_anchor in groupby(rows, itemgetter(0)):
+                leading = None  # the first digest's, needed once there is a second digest
+                for number, (_, same) in enumerate(groupby(same_anchor, itemgetter(1))):
+                    one, two = next(same), next(same, None)
+                    if number == 0:
+                        leading = asked(one, two is not None)
+                    else:
+                        if number == 1:
+                            yield leading
+                        yield asked(one, two is not None)
+                    if two is not None:
+                        yield from runs(one)
+                        yield from runs(two)
+                        for r in same:
+                            yield from runs(r)
+
+        held: list[tuple] = []
+        for row in told():
+            held.append(row)
+            if len(held) == BATCH_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+                held = []
+        columns = list(zip(*held)) if held else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    rows = found.repartition("anchor").sortWithinPartitions("anchor", "around")
+    return rows.select("anchor", "around", "k1", "k2", "pos", "after").mapInArrow(read, DECIDED)
 
 
 def contexts(asked: DataFrame) -> DataFrame:
-    """``anchor, k1, k2, pos, before, after``: up to ``REACH`` bytes before each asked place, reversed, and ``WINDOW`` from it on."""
+    """``anchor, k1, k2, pos, told, before, after``: up to ``REACH`` bytes before each asked place, reversed, and ``WINDOW`` from it on."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             rows = batch.column(3)
-            at, pos, anchor, before, after = [], [], [], [], []
+            at, pos, anchor, told, before, after = [], [], [], [], [], []
             for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
                 for hit in rows[i].as_py():
                     p = hit["pos"]
                     at.append(i)
                     pos.append(p)
                     anchor.append(hit["anchor"])
+                    told.append(hit["told"])
                     before.append(text[max(0, p - REACH) : p][::-1])
                     after.append(text[p : p + WINDOW])
                 if len(at) >= BATCH_ROWS:
-                    yield made(batch, at, pos, anchor, before, after)
-                    at, pos, anchor, before, after = [], [], [], [], []
-            yield made(batch, at, pos, anchor, before, after)
+                    yield made(batch, at, pos, anchor, told, before, after)
+                    at, pos, anchor, told, before, after = [], [], [], [], [], []
+            yield made(batch, at, pos, anchor, told, before, after)
 
-    def made(batch, at, pos, anchor, before, after) -> pa.RecordBatch:
+    def made(batch, at, pos, anchor, told, before, after) -> pa.RecordBatch:
         index = pa.array(at, pa.int64())
         return pa.RecordBatch.from_arrays(
             [
@@ -130,13 +195,14 @@ def contexts(asked: DataFrame) -> DataFrame:
                 batch.column(0).take(index),
                 batch.column(1).take(index),
                 pa.array(pos, pa.int64()),
+                pa.array(told, pa.bool_()),
                 pa.array(before, pa.binary()),
                 pa.array(after, pa.binary()),
             ],
-            ["anchor", "k1", "k2", "pos", "before", "after"],
+            ["anchor", "k1", "k2", "pos", "told", "before", "after"],
         )
 
-    schema = "anchor long, k1 long, k2 int, pos long, before binary, after binary"
+    schema = "anchor long, k1 long, k2 int, pos long, told boolean, before binary, after binary"
     # With doc_id the texts are shuffled as for the last step, so Spark shuffles them once for both.
     return asked.select(*KEY, "text", "hits", "doc_id").mapInArrow(cut, schema)
 
@@ -215,7 +281,7 @@ def repeated_windows(group: np.ndarray, before: pa.Array, after: pa.Array) -> tu
 
 
 def sorted_buckets(rows: DataFrame) -> DataFrame:
-    """``k1, k2, start, end`` of the repeated bytes around each anchor. Windows around one anchor overlap, so they are one run."""
+    """``k1, k2, start, end`` of the repeated bytes around each anchor not ``told`` yet. Windows around one anchor overlap, so they are one run."""
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -223,7 +289,7 @@ def sorted_buckets(rows: DataFrame) -> DataFrame:
             anchor, pos = table.column("anchor").to_numpy(), table.column("pos").to_numpy()
             before, after = (table.column(c).combine_chunks() for c in ("before", "after"))
             most, least = repeated_windows(anchor, before, after)
-            kept = most >= 0
+            kept = (most >= 0) & ~table.column("told").to_numpy()
             index = pa.array(np.nonzero(kept)[0])
             return pa.RecordBatch.from_arrays(
                 [
@@ -257,7 +323,7 @@ def sorted_buckets(rows: DataFrame) -> DataFrame:
     # The first eight bytes lead; the hash of all 64 keeps equal ones together in the order.
     lead = F.substring("after", 1, 8)
     spread = rows.repartitionByRange(lead, "anchor").sortWithinPartitions("anchor")
-    return spread.select("anchor", "k1", "k2", "pos", "before", "after").mapInArrow(
+    return spread.select("anchor", "k1", "k2", "pos", "told", "before", "after").mapInArrow(
         matched, "k1 long, k2 int, start long, end long"
     )
 
@@ -275,7 +341,7 @@ def hot_windows(rows: DataFrame) -> DataFrame:
     keyed = opened.withColumn("window", F.md5(window))
     counts = keyed.groupBy("anchor", "a", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     again = keyed.join(counts, ["anchor", "a", "window"]).groupBy(*around).agg(F.max("a").alias("most"), F.min("a").alias("least"))
-    return rows.join(again, around).select(
+    return rows.where(~F.col("told")).join(again, around).select(
         *KEY, (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + WINDOW).alias("end")
     )
 
@@ -291,19 +357,20 @@ def without_repeats(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("k1"), F.hash(text, "doc_id").alias("k2")
     )
-    found = durable(anchors(keyed), "anchors")
-    counts = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    counts = durable(counts, "repeated")
-    hot = counts.where(F.col("n") > hot_rows)
-    usual = counts.where(F.col("n") <= hot_rows)
+    found = durable(decided(anchors(keyed)), "decided")
+    asked = found.where("anchor is not null")
+    hot = durable(asked.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("anchor"), "hot-anchors")
 
     def surrounded(which: DataFrame) -> DataFrame:
-        hits = found.join(which.select("anchor"), "anchor").groupBy(*KEY).agg(F.collect_set(F.struct("pos", "anchor")).alias("hits"))
+        hits = which.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "anchor", "told")).alias("hits"))
         return contexts(keyed.join(hits, KEY))
 
-    spans = sorted_buckets(surrounded(usual))
+    spans = found.where("start is not null").select(*KEY, "start", "end")
     if hot.count():
-        spans = spans.unionByName(hot_windows(durable(surrounded(hot), "hot")))
+        spans = spans.unionByName(sorted_buckets(surrounded(asked.join(hot, "anchor", "left_anti"))))
+        spans = spans.unionByName(hot_windows(durable(surrounded(asked.join(hot, "anchor")), "hot")))
+    else:
+        spans = spans.unionByName(sorted_buckets(surrounded(asked)))
     runs = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     joined = keyed.join(runs, KEY, "left").select("doc_id", "text", "runs")
 

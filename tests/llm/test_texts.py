@@ -302,3 +302,17 @@ def test_languages(docs):
     assert [r.held for r in rows[:9]] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(9)]
     blind = langid.with_language(table.limit(3), langid.fit(table.where("false"))).collect()
     assert {(r.lang_pred, r.score) for r in blind} == {("und", 0.0)}
+
+
+def test_whole_copies_send_one_of_them(docs):
+    # Before, the bytes around every repeated anchor of every copy were sent.
+    rng = random.Random(21)
+    text, other = prose(rng, 150), prose(rng, 150)
+    texts = [text] * 20 + [f"{prose(rng, 40)}#{text[:600]}#{prose(rng, 40)}", other]
+    table = docs(texts).select(F.col("doc_id").alias("k1"), F.lit(0).alias("k2"), "text")
+    rows = suffix_dedup.decided(suffix_dedup.anchors(table)).collect()
+    asked = Counter(r.anchor for r in rows if r.anchor is not None)
+    assert asked and max(asked.values()) == 2 and {r.k1 for r in rows if r.anchor is not None and not r.told} == {20}
+    assert {r.k1 for r in rows if r.start is not None} >= set(range(20))
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(docs(texts)).collect()}
+    assert got == {**dict.fromkeys(range(20), len(text)), 20: 600, 21: 0}
