@@ -15,7 +15,8 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.durable import durable
@@ -31,6 +32,7 @@ DROP = 6
 MIN_WORDS = 50
 SIMILARITY = 0.8
 ASKED = 256
+LOT_WORDS = 1 << 20
 PAIR = ["doc", "key", "src", "src_key"]
 
 
@@ -40,8 +42,11 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
-def seeds_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the seeds of a text: of each ``AMONG`` runs of words in a row the smallest."""
+def seeds_of(words: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the seeds of a text: of each ``AMONG`` runs of words in a row the smallest.
+
+    With ``sizes``, the words are those of as many texts, one after another.
+    """
     if len(words) < SEED_WORDS + AMONG - 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     h = (words.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -50,6 +55,9 @@ def seeds_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h = h[: len(h) - step] * np.uint64(0xD6E8FEB86659FD93 + 2 * k) + h[step:]
         h ^= h >> np.uint64(29)
     least = running(h, AMONG, np.minimum)
+    if sizes is not None:
+        ends = np.repeat(np.cumsum(sizes), sizes)[: len(least)]
+        least[np.arange(len(least)) + (SEED_WORDS + AMONG - 1) > ends] = 0  # reaches into the next text
     edge = np.zeros(AMONG - 1, np.uint64)
     most = running(np.concatenate([edge, least, edge]), AMONG, np.maximum)
     places = np.nonzero(most == h)[0]
@@ -60,15 +68,19 @@ def seeds(docs: DataFrame) -> DataFrame:
     """``seed, doc, key, pos`` of every document (``doc, key, text``)."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            each = [seeds_of(word_hashes(t)) for t in batch.column(2).to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(each)), [len(p) for p, _ in each]))
+        for batch in slices(batches, 64):
+            each = [word_hashes(t) for t in batch.column(2).to_pylist()]
+            sizes = np.array([len(w) for w in each], np.int64)
+            places, h = seeds_of(np.concatenate(each), sizes)
+            ends = np.cumsum(sizes)
+            of = np.searchsorted(ends, places, "right")
+            row = pa.array(of)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([h for _, h in each]).view(np.int64)),
+                    pa.array(h.view(np.int64)),
                     batch.column(0).take(row),
                     batch.column(1).take(row),
-                    pa.array(np.concatenate([p for p, _ in each]).astype(np.int32)),
+                    pa.array((places - (ends - sizes)[of]).astype(np.int32)),
                 ],
                 ["seed", "doc", "key", "pos"],
             )
@@ -88,27 +100,40 @@ def windows_of(words: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.nd
     mixed = (words.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(32)
     factor = np.uint64(0xD6E8FEB86659FD93)
-    total = np.zeros(len(starts), np.uint64)
-    for k in range(MIN_WORDS):
-        total = total * factor + mixed[starts + k]
-        total ^= total >> np.uint64(31)
+    total, done, run, width = np.zeros(len(starts), np.uint64), 0, mixed, 1
+    while True:  # runs of 1, 2, 4 ... words, by doubling; those that add up to the window follow each other in it
+        if MIN_WORDS & width:
+            total = total * factor + run[starts + done]
+            total ^= total >> np.uint64(31)
+            done += width
+        if done == MIN_WORDS:
+            break
+        run = run[: len(run) - width] * (factor + np.uint64(2 * width)) + run[width:]
+        run ^= run >> np.uint64(29)
+        width *= 2
     return starts, total
 
 
-def window_matches(keyed: DataFrame, found: DataFrame, shared: DataFrame, passages: DataFrame) -> DataFrame:
+def outside(rows: DataFrame, passages: DataFrame, width: int) -> DataFrame:
+    """The ``rows`` (``doc, key, pos`` and more) whose ``width`` words do not lie whole in one passage of their document."""
+    spans = passages.select("doc", "key", F.col("start").cast("int").alias("pos"), F.col("end").alias("reach"))
+    both = rows.withColumn("reach", F.lit(None).cast("long")).unionByName(spans, allowMissingColumns=True)
+    # The passage that reaches furthest, of those that start here or before.
+    furthest = F.max("reach").over(Window.partitionBy("doc", "key").orderBy("pos"))
+    bare = both.withColumn("furthest", furthest).where(F.col("reach").isNull())
+    return bare.where(F.col("furthest").isNull() | (F.col("furthest") < F.col("pos") + width)).select(*rows.columns)
+
+
+def window_matches(keyed: DataFrame, all_shared: DataFrame, passages: DataFrame) -> DataFrame:
     """Matches, as of seeds, of the windows that may stand outside all ``passages``, each with its first occurrence.
 
-    Every seed inside a window that repeats is ``shared``. Windows whose seeds all lie in passages need no other
+    Every seed inside a window that repeats is in ``all_shared``. Windows whose seeds all lie in passages need no other
     source; the seeds that lie outside one somewhere tell where to look, in all documents.
     """
-    covered = passages.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    all_shared = found.join(shared.select("seed"), "seed")
-    within = F.exists("spans", lambda s: (s["start"] <= F.col("pos")) & (F.col("pos") + SEED_WORDS <= s["end"]))
-    later = all_shared.join(shared.select("seed", "first"), "seed").where(F.struct("doc", "key") != F.struct("first.doc", "first.key"))
-    bare = later.join(covered, ["doc", "key"], "left").where(F.col("spans").isNull() | ~within)
-    bare = durable(bare.select("seed", "doc", "key", "pos"), "bare-seeds")
+    later = all_shared.where(F.struct("doc", "key") != F.struct("first.doc", "first.key"))
+    bare = durable(outside(later.select("seed", "doc", "key", "pos"), passages, SEED_WORDS).select("seed").distinct(), "bare-seeds")
     # All shared seeds of the documents that hold one of these: a window may reach into a passage.
-    holders = all_shared.join(bare.select("seed").distinct(), "seed", "left_semi").select("doc", "key").distinct()
+    holders = all_shared.join(bare, "seed", "left_semi").select("doc", "key").distinct()
     asked = all_shared.join(holders, ["doc", "key"]).groupBy("doc", "key").agg(F.collect_set("seed").alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +156,7 @@ def window_matches(keyed: DataFrame, found: DataFrame, shared: DataFrame, passag
     windows = durable(windows.mapInArrow(cut, "window long, doc long, key int, pos int"), "windows")
     firsts = windows.groupBy("window").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count("*").alias("n"))
     matches = windows.join(firsts.where("n > 1"), "window").where(F.struct("doc", "key") != F.struct("first.doc", "first.key"))
-    matches = matches.join(covered, ["doc", "key"], "left")
-    whole = F.exists("spans", lambda s: (s["start"] <= F.col("pos")) & (F.col("pos") + MIN_WORDS <= s["end"]))
-    return matches.where(F.col("spans").isNull() | ~whole).select(
+    return outside(matches.select("doc", "key", "pos", "first"), passages, MIN_WORDS).select(
         "doc", "key", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"), "pos", F.col("first.pos").alias("src_pos")
     )
 
@@ -238,47 +261,106 @@ def chained(matches: DataFrame, width: int = SEED_WORDS) -> DataFrame:
     return rows.mapInArrow(linked, "doc long, key int, src long, src_key int, parts array<int>")
 
 
-def extension(equal: np.ndarray) -> tuple[int, int]:
-    """How far to go on while words match mostly, and how many of them match: a match counts 1, another word -2,
-    and the search ends ``DROP`` below the best."""
-    if not len(equal):
-        return 0, 0
-    total = np.cumsum(np.where(equal, 1, -2))
-    best = np.maximum.accumulate(np.maximum(total, 0))
-    stop = np.nonzero(total < best - DROP)[0]
-    total = total[: stop[0]] if len(stop) else total
-    if not len(total) or total.max() <= 0:
-        return 0, 0
-    end = int(total.argmax()) + 1
-    return end, int(equal[:end].sum())
-
-
-def common(a: np.ndarray, b: np.ndarray) -> int:
-    """Words in the longest common subsequence of two short runs."""
-    row = np.zeros(len(b) + 1, np.int64)
-    for word in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)))
-    return int(row[-1])
-
-
-def aligned(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]], width: int = SEED_WORDS) -> tuple[int, int, int, int, int]:
-    """Start and end in both and the matching words of a chain, extended at both sides. ``parts`` as places in a and b."""
-    x0, y0, _ = parts[0]
-    x, y, matched = x0, y0, 0
-    for c, d, n in parts:
-        skip = max(0, x - c, y - d)
-        c, d, n = c + skip, d + skip, n + width - skip
-        if n <= 0:
-            continue
-        if c > x and d > y:
-            matched += common(a[x:c], b[y:d])
-        matched += int((a[c : c + n] == b[d : d + n]).sum())
-        x, y = c + n, d + n
-    m = min(len(a) - x, len(b) - y)
-    more, hit = extension(a[x : x + m] == b[y : y + m])
-    m = min(x0, y0)
-    less, hit0 = extension(a[x0 - m : x0][::-1] == b[y0 - m : y0][::-1])
-    return x0 - less, x + more, y0 - less, y + more, matched + hit + hit0
+def extensions(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, most: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far to go on from places x in a and y in b, by ``step`` and ``most`` words, while words match mostly, and how many
+    of them match: a match counts 1, another word -2, and the search ends ``DROP`` below the best."""
+    none = np.zeros(len(x), np.int64)
+    if not len(x) or most.max() <= 0:
+        return none, none
+    over = np.arange(most.max())
+    inside = over < most[:, None]
+    go = np.where(inside, over * step, 0)
+    equal = a[np.where(inside, x[:, None] + go, 0)] == b[np.where(inside, y[:, None] + go, 0)]
+    total = np.cumsum(np.where(equal, 1, -2), axis=1, dtype=np.int32)
+    best = np.maximum.accumulate(np.maximum(total, 0), axis=1)
+    ended = np.logical_or.accumulate(~inside | (total < best - DROP), axis=1)
+    total[ended] = -1
+    end = total.argmax(axis=1)
+    top = total[np.arange(len(x)), end].astype(np.int64)
+    end = np.where(top > 0, end + 1, 0)
+    return end, np.where(top > 0, (top + 2 * end) // 3, 0)
+
+
+def commons(a: np.ndarray, b: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    """Words in the longest common subsequence of each two short runs; a row of ``gaps`` is x, its end, y, its end."""
+    out = np.zeros(len(gaps), np.int64)
+    size = (gaps[:, 1] - gaps[:, 0]) * 4096 + gaps[:, 3] - gaps[:, 2]
+    order = np.argsort(size, kind="stable")
+    for at in range(0, len(order), 1024):  # alike sizes together, so that little of a lot is filled up
+        lot = order[at : at + 1024]
+        x, x1, y, y1 = gaps[lot].T
+        over = np.arange((y1 - y).max())
+        inside = over < (y1 - y)[:, None]
+        right = b[np.where(inside, y[:, None] + over, 0)]
+        row = np.zeros((len(lot), len(over) + 1), np.int32)
+        for k in range((x1 - x).max()):
+            open_ = x + k < x1
+            word = a[np.where(open_, x + k, 0)]
+            hit = (right == word[:, None]) & inside & open_[:, None]
+            row[:, 1:] = np.maximum.accumulate(np.maximum(row[:, 1:], row[:, :-1] + hit), axis=1)
+        out[lot] = row[:, -1]
+    return out
+
+
+def matching(a: np.ndarray, b: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Equal words of two runs side by side; a row of ``runs`` is x, y and the length."""
+    out = np.zeros(len(runs), np.int64)
+    long = runs[:, 2] > 512
+    for i in np.nonzero(long)[0]:
+        x, y, n = runs[i]
+        out[i] = (a[x : x + n] == b[y : y + n]).sum()
+    short = np.nonzero(~long)[0]
+    for at in range(0, len(short), 4096):
+        lot = short[at : at + 4096]
+        x, y, n = runs[lot].T
+        first = np.cumsum(n) - n
+        over = np.arange(n.sum()) - np.repeat(first, n)
+        equal = a[np.repeat(x, n) + over] == b[np.repeat(y, n) + over]
+        out[lot] = np.add.reduceat(equal.astype(np.int64), first) if len(lot) else 0
+    return out
+
+
+def aligned(
+    a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, found: list[list[int]], width: int = SEED_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end in both and the matching words of chains, extended at both sides.
+
+    The words of chain i are those from ``a_at[i]`` to ``a_at[i + 1]`` in a, and so in b; its parts are places in a and b.
+    """
+    ends, runs, gaps, run_of, gap_of = [], [], [], [], []
+    for i, flat in enumerate(found):
+        x, y = flat[0], flat[1]
+        for k in range(0, len(flat), 3):
+            c, d, n = flat[k : k + 3]
+            skip = max(0, x - c, y - d)
+            c, d, n = c + skip, d + skip, n + width - skip
+            if n <= 0:
+                continue
+            if c > x and d > y:
+                gaps.append((x, c, y, d))
+                gap_of.append(i)
+            runs.append((c, d, n))
+            run_of.append(i)
+            x, y = c + n, d + n
+        ends.append((flat[0], x, flat[1], y))
+    x0, x1, y0, y1 = np.array(ends, np.int64).reshape(-1, 4).T
+    matched = np.zeros(len(found), np.int64)
+    if runs:
+        np.add.at(matched, run_of, matching(a, b, np.array(runs, np.int64)))
+    if gaps:
+        np.add.at(matched, gap_of, commons(a, b, np.array(gaps, np.int64)))
+    more, hit = extensions(a, x1, b, y1, np.minimum(a_at[1:] - x1, b_at[1:] - y1), 1)
+    less, hit0 = extensions(a, x0 - 1, b, y0 - 1, np.minimum(x0 - a_at[:-1], y0 - b_at[:-1]), -1)
+    return x0 - less, x1 + more, y0 - less, y1 + more, matched + hit + hit0
+
+
+def word_runs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a column of binary values, one after another, and where each value begins, and the end."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    words = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view("<u4") if data and at[-1] > at[0] else np.empty(0, "<u4")
+    return words, (at - at[0]) // 4
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -295,17 +377,21 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     keyed = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     keyed = keyed.select(F.col("doc_id").cast("long").alias("doc"), F.hash("text").alias("key"), "text")
     found = durable(seeds(keyed), "seeds")
+    # Most seeds stand in one place: counted by hash, they go before any others are sorted and joined.
+    often = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    often = durable(found.join(often, "seed", "left_semi"), "frequent-seeds")
     whole = F.struct("doc", "key")
-    firsts = found.groupBy("seed").agg(
+    firsts = often.groupBy("seed").agg(
         F.min(F.struct("doc", "key", "pos")).alias("first"), F.max(whole).alias("last")
     )
     firsts = firsts.where(F.struct("first.doc", "first.key") < F.col("last")).select("seed", "first")
-    matches = found.join(firsts, "seed").where(whole != F.struct("first.doc", "first.key"))
+    shared = durable(often.join(firsts, "seed"), "shared-seeds")
+    matches = shared.where(whole != F.struct("first.doc", "first.key"))
     matches = matches.select(
         "doc", "key", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"), "pos", F.col("first.pos").alias("src_pos")
     )
     passages = durable(aligned_passages(keyed, matches, SEED_WORDS), "passages")
-    again = window_matches(keyed, found, firsts, passages)
+    again = window_matches(keyed, shared, passages)
     names = [c for c in passages.columns if c not in ("key", "doc")]
     out = passages.unionByName(aligned_passages(keyed, again, MIN_WORDS)).select(F.col("doc").alias("doc_id"), *names)
     return out.dropDuplicates(["doc_id", "start", "end", "source_id", "source_start", "source_end"])
@@ -330,19 +416,27 @@ def aligned_passages(keyed: DataFrame, matches: DataFrame, width: int) -> DataFr
     # A document that many others repeat is asked for in lots, each with a bounded list.
     lots = asked.groupBy("doc", "key").agg(F.ceil(F.count("*") / ASKED).alias("lots"))
     asked = asked.join(lots, ["doc", "key"]).withColumn("lot", F.pmod(F.xxhash64("id", "side"), "lots"))
-    asked = asked.groupBy("doc", "key", "lot").agg(F.collect_set(F.struct("id", "side", "low", "high")).alias("asked"))
+    asked = asked.groupBy("doc", "key", "lot").agg(F.collect_list(F.struct("id", "side", "low", "high")).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            rows = []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = word_hashes(text)
-                for w in wanted:
-                    low = max(0, w["low"] - EXTEND)
-                    rows.append((w["id"], w["side"], low, words[low : w["high"] + width + EXTEND].astype("<u4").tobytes()))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "side", "low", "words"])
+            each = [word_hashes(t) for t in batch.column(0).to_pylist()]
+            words = np.concatenate(each)
+            sizes = np.array([len(w) for w in each], np.int64)
+            count = pc.list_value_length(batch.column(1)).to_numpy()
+            size, first = np.repeat(sizes, count), np.repeat(np.cumsum(sizes) - sizes, count)
+            ids, sides, low, high = (f.to_numpy() for f in batch.column(1).flatten().flatten())
+            low = np.maximum(0, low - EXTEND)
+            length = np.maximum(np.minimum(high.astype(np.int64) + (width + EXTEND), size) - low, 0)
+            lots = np.cumsum(length) // LOT_WORDS
+            for at in np.split(np.arange(len(ids)), np.nonzero(np.diff(lots))[0] + 1):
+                n = length[at]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                places = np.arange(ends[-1]) + np.repeat(first[at] + low[at] - ends[:-1], n)
+                buffers = [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(words[places].astype("<u4"))]
+                runs = pa.Array.from_buffers(pa.binary(), len(at), buffers)
+                columns = [pa.array(ids[at]), pa.array(sides[at]), pa.array(low[at].astype(np.int32)), runs]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "side", "low", "words"])
 
     cuts = keyed.join(asked, ["doc", "key"]).select("text", "asked")
     cuts = cuts.mapInArrow(cut, "id long, side int, low int, words binary")
@@ -356,22 +450,22 @@ def aligned_passages(keyed: DataFrame, matches: DataFrame, width: int) -> DataFr
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
-            for r in batch.to_pylist():
-                a, b = np.frombuffer(r["words0"], "<u4"), np.frombuffer(r["words1"], "<u4")
-                flat = r["parts"]
-                parts = [(flat[i] - r["low0"], flat[i + 1] - r["low1"], flat[i + 2]) for i in range(0, len(flat), 3)]
-                x0, x1, y0, y1, matched = aligned(a, b, parts, width)
-                likeness = 2 * matched / (x1 - x0 + y1 - y0)
-                if min(x1 - x0, y1 - y0) >= MIN_WORDS and likeness >= SIMILARITY:
-                    low0, low1 = r["low0"], r["low1"]
-                    rows.append((r["doc"], r["key"], x0 + low0, x1 + low0, r["src"], y0 + low1, y1 + low1, matched, likeness))
-            columns = list(zip(*rows)) if rows else [()] * 9
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kinds.get(n, pa.int64())) for c, n in zip(columns, names)], names
-            )
+            if not batch.num_rows:
+                continue
+            (a, a_at), (b, b_at) = word_runs(batch.column("words0")), word_runs(batch.column("words1"))
+            low0, low1 = (batch.column(c).to_numpy().astype(np.int64) for c in ("low0", "low1"))
+            found = batch.column("parts").to_pylist()
+            for i, (dx, dy) in enumerate(zip((a_at[:-1] - low0).tolist(), (b_at[:-1] - low1).tolist())):
+                found[i] = [v + (dx, dy, 0)[k % 3] for k, v in enumerate(found[i])]
+            x0, x1, y0, y1, matched = aligned(a, a_at, b, b_at, found, width)
+            likeness = 2 * matched / (x1 - x0 + y1 - y0)
+            kept = np.nonzero((np.minimum(x1 - x0, y1 - y0) >= MIN_WORDS) & (likeness >= SIMILARITY))[0]
+            to_x, to_y = low0 - a_at[:-1], low1 - b_at[:-1]
+            ids = [batch.column(c).take(pa.array(kept)) for c in ("doc", "key", "src")]
+            numbers = [x0 + to_x, x1 + to_x, y0 + to_y, y1 + to_y, matched, likeness]
+            start, end, src_start, src_end, matched, likeness = (pa.array(c[kept]) for c in numbers)
+            yield pa.RecordBatch.from_arrays([*ids[:2], start, end, ids[2], src_start, src_end, matched, likeness], names)
 
-    kinds = {"similarity": pa.float64(), "key": pa.int32()}
     names = ["doc", "key", "start", "end", "source_id", "source_start", "source_end", "matched", "similarity"]
     kind_names = {"similarity": "double", "key": "int"}
     schema = ", ".join(f"{n} {kind_names.get(n, 'long')}" for n in names)

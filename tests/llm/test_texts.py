@@ -316,3 +316,79 @@ def test_whole_copies_send_one_of_them(docs):
     assert {r.k1 for r in rows if r.start is not None} >= set(range(20))
     got = {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(docs(texts)).collect()}
     assert got == {**dict.fromkeys(range(20), len(text)), 20: 600, 21: 0}
+
+
+def test_alignment_of_many_chains_at_once():
+    def extension(equal):
+        best = total = hits = end = found = 0
+        for k, same in enumerate(equal):
+            total, hits = total + (1 if same else -2), hits + bool(same)
+            if total < best - chaining.DROP:
+                break
+            if total > best:
+                best, end, found = total, k + 1, hits
+        return end, found
+
+    def plain(a, b, parts, width):
+        x0, y0 = x, y = parts[:2]
+        matched = 0
+        for c, d, n in zip(*[iter(parts)] * 3):
+            skip = max(0, x - c, y - d)
+            c, d, n = c + skip, d + skip, n + width - skip
+            if n <= 0:
+                continue
+            if c > x and d > y:
+                row = [0] * (d - y + 1)
+                for one in a[x:c]:
+                    last, row = row, [0]
+                    for j, two in enumerate(b[y:d]):
+                        row.append(max(row[-1], last[j + 1], last[j] + (one == two)))
+                matched += row[-1]
+            matched += sum(p == q for p, q in zip(a[c : c + n], b[d : d + n]))
+            x, y = c + n, d + n
+        more, hit = extension([p == q for p, q in zip(a[x:], b[y:])])
+        less, hit0 = extension([p == q for p, q in zip(a[:x0][::-1], b[:y0][::-1])])
+        return x0 - less, x + more, y0 - less, y + more, matched + hit + hit0
+
+    rng = random.Random(41)
+    made = []
+    for _ in range(120):
+        a = [rng.randrange(rng.choice([3, 1000])) for _ in range(rng.randrange(8, 900))]
+        b = list(a)
+        for _ in range(rng.randrange(20)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(3)] = [rng.randrange(1000) for _ in range(rng.randrange(3))]
+        one, two = (np.array(v, np.uint32) for v in (a, b))
+        first = {}
+        for at, seed in zip(*chaining.seeds_of(two)):
+            first.setdefault(seed, at)
+        met = [(at, first[seed]) for at, seed in zip(*chaining.seeds_of(one)) if seed in first]
+        if met:
+            made += [(a, b, [v for part in chain for v in part]) for chain in chaining.chains(*np.array(met).T)]
+    assert max(len(parts) for *_, parts in made) > 9
+    a_at, b_at = (np.cumsum([0] + [len(row[k]) for row in made]) for k in (0, 1))
+    placed = [[v + int((a_at[i], b_at[i], 0)[k % 3]) for k, v in enumerate(parts)] for i, (*_, parts) in enumerate(made)]
+    words = [np.array([w for row in made for w in row[k]], np.uint32) for k in (0, 1)]
+    x0, x1, y0, y1, matched = chaining.aligned(words[0], a_at, words[1], b_at, placed)
+    a_at, b_at = a_at[:-1], b_at[:-1]
+    got = list(zip(*(c.tolist() for c in (x0 - a_at, x1 - a_at, y0 - b_at, y1 - b_at, matched))))
+    assert got == [plain(a, b, parts, chaining.SEED_WORDS) for a, b, parts in made]
+
+
+def test_seeds_of_texts_one_after_another():
+    rng = random.Random(42)
+    each = [np.array([rng.randrange(50) for _ in range(n)], np.uint32) for n in (0, 1, 18, 19, 20, 300, 0, 45, 7, 60, 0)]
+    sizes = np.array([len(w) for w in each])
+    expected = [(int(p + at), int(h)) for w, at in zip(each, np.cumsum(sizes) - sizes) for p, h in zip(*chaining.seeds_of(w))]
+    assert expected and [(int(p), int(h)) for p, h in zip(*chaining.seeds_of(np.concatenate(each), sizes))] == expected
+
+
+def test_places_outside_passages(spark):
+    rng = random.Random(43)
+    spans = [(rng.choice([None, 1, 2]), 7, at := rng.randrange(200), at + rng.randrange(1, 60)) for _ in range(15)] * 2
+    rows = [(doc, key, rng.randrange(260), k) for k, (doc, key) in enumerate([(None, 7), (1, 7), (2, 7), (2, 8), (3, 7)] * 80)]
+    passages = spark.createDataFrame(spans, "doc long, key int, start long, end long")
+    got = chaining.outside(spark.createDataFrame(rows, "doc long, key int, pos int, mark int"), passages, 8)
+    inside = lambda r: any((d, k) == r[:2] and s <= r[2] and r[2] + 8 <= e for d, k, s, e in spans)
+    assert got.columns == ["doc", "key", "pos", "mark"]
+    assert sorted(r.mark for r in got.collect()) == [r[3] for r in rows if not inside(r)]
