@@ -9,6 +9,7 @@ import xxhash
 from odd import ODD
 from pyspark.sql import functions as F
 
+from bandwise.durable import written_tables
 from bandwise.llm import chaining, langid, line_dedup, minhash, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.components import components
 
@@ -156,6 +157,31 @@ def test_lines_at_similarity_of_four_fifths(docs):
     assert line_dedup.dropped_lines(docs(ODD).where("false"), all_edits=True).count() == 0
 
 
+def test_lines_of_all_edits_leave_no_runs_on_disk(docs):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+    lines = [list(base) for _ in range(6)]
+    for k, line in enumerate(lines):
+        for at in rng.sample(range(40), k):
+            line[at] = f"x{k}y{at}"
+    before = set(written_tables())
+    lost = line_dedup.dropped_lines(docs([" ".join(line) for line in lines]), all_edits=True).collect()
+    assert sorted(r.doc for r in lost) == [1, 2, 3, 4, 5]
+    left = [path for path in written_tables() if path not in before]
+    assert not [path for path in left if "runs" in path or "held" in path]
+
+
+def test_words_that_share_a_character_are_told_apart(docs, monkeypatch):
+    # With few characters nearly all words collide; the exact distance must decide.
+    rng = random.Random(9)
+    base = [f"a{rng.randrange(10**6)}" for _ in range(20)]
+    near = base[:3] + ["b1"] + base[4:9] + ["b2"] + base[10:]
+    far = [f"c{k}" if k % 3 == 0 else w for k, w in enumerate(base)]
+    monkeypatch.setattr(line_dedup, "CHARACTERS", 2)
+    table = docs([" ".join(base), " ".join(near), " ".join(far)])
+    assert [r.doc for r in line_dedup.dropped_lines(table, all_edits=True).collect()] == [1]
+
+
 def test_secrets(docs):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     key = "0123456789abcdef0123"
