@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.durable import durable
+from bandwise.durable import durable_alone
 from bandwise.llm.common import slices
 from bandwise.llm.components import components, smallest_reachable
 
@@ -145,7 +145,7 @@ def fingerprint_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFr
     # A meeting needs an unmodified half and one more row; most variants meet nobody.
     sizes = halves.groupBy("half", "met").agg(F.count("*").alias("n"), F.max("own").alias("met_own"))
     sizes = sizes.where("n > 1 and met_own").drop("met_own")
-    met = durable(halves.join(sizes, ["half", "met"]), "meetings")
+    met = durable_alone(halves.join(sizes, ["half", "met"]), "meetings")
     usual = met.where(F.col("n") <= group_rows).drop("n")
     links = contract(usual, ["half", "met"], RADIUS)
     hot = met.where(F.col("n") > group_rows).drop("n")
@@ -167,11 +167,11 @@ def with_components(docs: DataFrame, words_per_shingle: int = SHINGLE, keep_text
     are documents of their own. ``docs`` of no other columns lose their text unless ``keep_text``.
     """
     prints = with_fingerprint(docs.drop("fingerprint"), words_per_shingle)
-    ids = durable(prints.select("doc_id", "fingerprint"), "prints")
-    classes = durable(ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
+    ids = durable_alone(prints.select("doc_id", "fingerprint"), "prints")
+    classes = durable_alone(ids.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     found = components(fingerprint_links(classes.select("fingerprint"))).toDF("fingerprint", "component")
     groups = classes.join(found, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    groups = durable(groups, "components")
+    groups = durable_alone(groups, "components")
     named = groups.groupBy("component").agg(F.min("first").alias("component_id"))
     named = groups.join(named, "component").select("fingerprint", "component", "component_id")
     if not keep_text and set(docs.columns) <= {"doc_id", "text"}:
