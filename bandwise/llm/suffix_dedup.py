@@ -331,17 +331,21 @@ def sorted_buckets(rows: DataFrame) -> DataFrame:
 def hot_windows(rows: DataFrame) -> DataFrame:
     """The same for anchors of more than ``HOT_ROWS``: equal surroundings count once, then every window has a key of its own
     and is counted by key, so no anchor needs one task."""
-    around = ["anchor", "before", "after"]
-    once = rows.groupBy(*around).agg(F.count("*").alias("n"))
     left, right = F.octet_length("before"), F.octet_length("after")
+    # Rows opened by window carry a digest of their surroundings in place of the bytes.
+    key = F.unhex(F.md5(F.concat(F.lpad(left.cast("string"), 3, "0").cast("binary"), "before", "after"))).alias("surroundings")
+    once = rows.groupBy("anchor", "before", "after").agg(F.count("*").alias("n"))
     low, high = F.greatest(F.lit(0), WINDOW - right), F.least(F.lit(REACH), left)
     places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    opened = once.select(*around, "n", F.explode(places).alias("a"))
+    opened = once.select("anchor", "before", "after", key, "n", F.explode(places).alias("a"))
     window = F.concat(F.substring("before", F.lit(1), F.col("a")), F.substring("after", F.lit(1), WINDOW - F.col("a")))
-    keyed = opened.withColumn("window", F.md5(window))
+    keyed = opened.select("anchor", "surroundings", "n", "a", F.unhex(F.md5(window)).alias("window"))
     counts = keyed.groupBy("anchor", "a", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
-    again = keyed.join(counts, ["anchor", "a", "window"]).groupBy(*around).agg(F.max("a").alias("most"), F.min("a").alias("least"))
-    return rows.where(~F.col("told")).join(again, around).select(
+    # Spark sizes these by the compressed table and as if explode made no more rows, and would send them whole.
+    again = keyed.join(counts.hint("merge"), ["anchor", "a", "window"])
+    again = again.groupBy("anchor", "surroundings").agg(F.max("a").alias("most"), F.min("a").alias("least"))
+    open_rows = rows.where(~F.col("told")).select(*KEY, "pos", "anchor", key)
+    return open_rows.join(again.hint("merge"), ["anchor", "surroundings"]).select(
         *KEY, (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + WINDOW).alias("end")
     )
 
