@@ -145,7 +145,8 @@ def fingerprint_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFr
     # A meeting needs an unmodified half and one more row; most variants meet nobody.
     sizes = halves.groupBy("half", "met").agg(F.count("*").alias("n"), F.max("own").alias("met_own"))
     sizes = sizes.where("n > 1 and met_own").drop("met_own")
-    met = durable_alone(halves.join(sizes, ["half", "met"]), "meetings")
+    # Spark sizes a table as if explode made no more rows; a side of this join that it deems small enough to send whole is not.
+    met = durable_alone(halves.join(sizes.hint("merge"), ["half", "met"]), "meetings")
     usual = met.where(F.col("n") <= group_rows).drop("n")
     links = contract(usual, ["half", "met"], RADIUS)
     hot = met.where(F.col("n") > group_rows).drop("n")

@@ -9,7 +9,7 @@ import xxhash
 from odd import ODD
 from pyspark.sql import functions as F
 
-from bandwise.durable import written_tables
+from bandwise.durable import durable, written_tables
 from bandwise.llm import chaining, langid, line_dedup, minhash, secret_scan, simhash_dedup, suffix_dedup
 from bandwise.llm.components import components
 
@@ -61,6 +61,20 @@ def test_simhash_links_and_components(docs, spark):
     assert spark.sql("select xxhash64('a b c')").first()[0] % 2**64 == xxhash.xxh64_intdigest(b"a b c", 42)
 
 
+def plan_of(table):
+    return table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_variants_of_fingerprints_are_not_sent_whole(spark, monkeypatch):
+    """Spark deems the table of variants as small as that of the fingerprints."""
+    plans, written = {}, simhash_dedup.durable_alone
+    monkeypatch.setattr(simhash_dedup, "durable_alone", lambda table, label: plans.update({label: plan_of(table)}) or written(table, label))
+    prints = durable(spark.createDataFrame([(0,), (1,), (2**40,), (2**63 - 1,)], "fingerprint long"), "classes")
+    links = simhash_dedup.fingerprint_links(prints)
+    assert "Broadcast" not in plans["meetings"]
+    assert {r.node: r.component for r in components(links).collect()} == {0: 0, 1: 0, 2**40: 0}
+
+
 def test_a_column_named_fingerprint_is_not_looked_at(docs):
     texts = ["one two three", "four five six", "one two three"]
     table = docs(texts).withColumn("fingerprint", F.when(F.col("doc_id") < 2, 7).cast("long"))
@@ -233,6 +247,13 @@ def test_repeated_bytes(docs, hot_rows):
     assert suffix_dedup.without_repeats(docs(texts).where("false")).count() == 0
 
 
+def test_hot_windows_send_no_opened_table_whole(spark):
+    rows = [(1, k, 0, 7, False, bytes([k]) * 136, b"a" * 200) for k in range(4)] + [(2, 9, 0, 7, True, bytes([1]) * 136, b"a" * 200)]
+    found = suffix_dedup.hot_windows(durable(spark.createDataFrame(rows, "k1 long, k2 int, pos long, anchor long, told boolean, before binary, after binary"), "hot"))
+    assert "Broadcast" not in plan_of(found)
+    assert sorted((r.k2, r.start, r.end) for r in found.collect()) == [(0, 0, 200), (1, -136, 200), (2, 0, 200), (3, 0, 200)]
+
+
 def test_anchors_of_long_texts_do_not_depend_on_chunks(monkeypatch, docs):
     text = prose(random.Random(1), 2000)
     table = docs([text]).select(F.lit(1).cast("long").alias("k1"), F.lit(2).alias("k2"), "text")
