@@ -10,7 +10,7 @@ from odd import ODD
 from pyspark.sql import functions as F
 
 from bandwise.durable import durable, written_tables
-from bandwise.llm import chaining, langid, line_dedup, minhash, secret_scan, simhash_dedup, suffix_dedup
+from bandwise.llm import chaining, langid, line_dedup, minhash, secret_scan, shingle_dedup, simhash_dedup, suffix_dedup
 from bandwise.llm.components import components
 
 WORDS = [f"{a}{b}" for a in ("al", "be", "cu", "do", "ek") for b in ("ra", "si", "ton", "ux", "vy", "zem")]
@@ -75,6 +75,17 @@ def test_variants_of_fingerprints_are_not_sent_whole(spark, monkeypatch):
     assert {r.node: r.component for r in components(links).collect()} == {0: 0, 1: 0, 2**40: 0}
 
 
+def test_lines_and_sets_are_not_sent_whole(docs, spark):
+    """Their compressed files are far smaller than their rows."""
+    pairs = durable(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"), "pairs")
+    sets = durable(spark.createDataFrame([(1, [1, 2, 3, 4, 5]), (2, [1, 2, 3, 4]), (3, [1, 2, 3])], "shape long, hashes array<long>"), "sets")
+    near = shingle_dedup.alike(pairs, sets)
+    assert "Broadcast" not in plan_of(near) and [tuple(r) for r in near.collect()] == [(1, 2)]
+    held = durable(spark.createDataFrame([(1, "a b c d e f"), (3, "a b c d e g"), (5, "a b x y z g")], "line long, spaced string"), "held")
+    found = line_dedup.verified(durable(spark.createDataFrame([(3, 1), (5, 1)], "line long, earlier long"), "pairs"), held)
+    assert "Broadcast" not in plan_of(found) and [r.line for r in found.collect()] == [3]
+
+
 def test_a_column_named_fingerprint_is_not_looked_at(docs):
     texts = ["one two three", "four five six", "one two three"]
     table = docs(texts).withColumn("fingerprint", F.when(F.col("doc_id") < 2, 7).cast("long"))
